@@ -144,14 +144,16 @@ def _pairs_in_row(t, m: int):
                                (off(i) + j - i - 1).cast("bigint").alias("idx"))))))
 
 
-def leaf_pairs(nodes: DataFrame, cfg: MineConfig) -> DataFrame:
+def leaf_pairs(nodes: DataFrame | None, cfg: MineConfig, terms: DataFrame | None = None) -> DataFrame:
     """Kept leaf pairs: tree_id, pair_idx, a_* and b_* leaf fields.
 
     Without a length limit the first ``max_contexts + 1`` pairs in combination
     order are kept (the reference stops once it holds more than the maximum).
+    Adapters that know their terminals by rule pass ``terms`` instead of nodes.
     """
-    terms = terminals(depth_limit(nodes, cfg.max_ast_depth)).select(
-        "tree_id", *LEAF_FIELDS, *(["sort_key"] if cfg.leaf_order == "fixed" else []))
+    if terms is None:
+        terms = terminals(depth_limit(nodes, cfg.max_ast_depth))
+    terms = terms.select("tree_id", *LEAF_FIELDS, *(["sort_key"] if cfg.leaf_order == "fixed" else []))
     m = cfg.max_contexts
     if cfg.max_path_len:
         return _length_limited_pairs(terms, cfg)
@@ -230,8 +232,8 @@ def pair_contexts(pairs: DataFrame, cfg: MineConfig) -> DataFrame:
             .withColumn("bad", (F.size("start") == 0) | (F.size("end") == 0)))
 
 
-def mine_contexts(nodes: DataFrame, cfg: MineConfig) -> DataFrame:
-    return pair_contexts(leaf_pairs(nodes, cfg), cfg)
+def mine_contexts(nodes: DataFrame | None, cfg: MineConfig, terms: DataFrame | None = None) -> DataFrame:
+    return pair_contexts(leaf_pairs(nodes, cfg, terms), cfg)
 
 
 # ------------------------------------------------------- E6 / B10 / B15 samples

@@ -9,7 +9,10 @@ from ..config import MineConfig
 from ..functions.paths import common_prefix_len, path_len
 from ..functions.text import format_sample
 from ..operators import tree as T
+from ..operators.quality import validate_samples
+from .document_tree import document_terminals, document_trees
 from .order_tree import order_tree_edges, order_tree_nodes, order_trees
+from .sql_dt import dt_ctx_sql
 from .registry import register
 from .sql_ot import OT_NODES_SQL, ot_pairs_sql, ot_ranked_sql, tok_sql
 
@@ -146,3 +149,50 @@ def q_nonempty_samples(spark, sf):
     samples, _ = ot_samples(spark, sf)
     marked = order_trees(spark, sf).join(samples.select("tree_id", F.lit(1).alias("has")), "tree_id", "left")
     return marked.agg(F.count("*").alias("n_trees"), F.count("has").alias("n_samples"))
+
+
+# ---------------------------------------------------------------------- DT: E4 / B15 / B14 / B7
+def dt_samples(spark, sf, cfg: MineConfig = RANDOM, transparent: bool = False):
+    ctx = T.mine_contexts(None, cfg, document_terminals(spark, sf, transparent))
+    return ctx, T.assemble_samples(ctx, document_trees(spark, sf, cfg.max_subtokens))
+
+
+@register("doc_contexts", f"""WITH {dt_ctx_sql()}
+SELECT {CTX_COLS} FROM dt_ctx""")
+def q_doc_contexts(spark, sf):
+    ctx, _ = dt_samples(spark, sf)
+    return flat_contexts(ctx)
+
+
+@register("rejects", f"""WITH {dt_ctx_sql()}
+SELECT file, line, CASE WHEN len(target) = 0 THEN 'target has no subtoken' ELSE 'token has no subtoken' END AS reason
+FROM dt_status WHERE any_bad OR len(target) = 0""")
+def q_rejects(spark, sf):
+    _, (_, rejects) = dt_samples(spark, sf)
+    return rejects.select("file", "line", "reason")
+
+
+@register("validate_samples", f"""WITH {dt_ctx_sql()},
+good AS (SELECT s.*, c.s_arr, c.p_arr, c.e_arr FROM dt_status s JOIN dt_ctx c ON c.tree_id = s.tree_id
+         WHERE NOT s.any_bad AND len(s.target) > 0),
+el AS (
+  SELECT file, line, 'target' AS part, unnest(target) AS value FROM (SELECT DISTINCT file, line, target FROM good)
+  UNION ALL SELECT file, line, 'token', unnest(s_arr) FROM good
+  UNION ALL SELECT file, line, 'token', unnest(e_arr) FROM good
+  UNION ALL SELECT file, line, 'path', unnest(p_arr) FROM good
+),
+r AS (SELECT *, CASE WHEN length(value) = 0 THEN 'empty'
+                     WHEN contains(value, ' ') OR contains(value, '|') OR contains(value, ',') THEN 'delimiter' END AS rule
+      FROM el)
+SELECT part, rule, count(*) AS n_violations, count(DISTINCT (file, line)) AS n_samples
+FROM r WHERE rule IS NOT NULL GROUP BY part, rule""")
+def q_validate_samples(spark, sf):
+    _, (samples, _) = dt_samples(spark, sf)
+    return validate_samples(samples)
+
+
+@register("collapse_transparent", f"""WITH {dt_ctx_sql(transparent=True)}
+SELECT {CTX_COLS} FROM dt_ctx""")
+def q_collapse_transparent(spark, sf):
+    ctx, _ = dt_samples(spark, sf, transparent=True)
+    return flat_contexts(ctx)
