@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MineConfig
-from ..functions.paths import common_prefix_len, inner_path, path_len
+from ..functions.paths import inner_path, lca_depth, path_len
 from ..functions.tokens import token_or_subtokens
 from ..session import cut_lineage
 
 LEAF_FIELDS = ["node_id", "label", "is_reserved", "ids", "labels"]
+PAIR_FIELDS = LEAF_FIELDS + ["tok"]
 CTX_TYPE = "struct<start:array<string>,path:array<string>,end:array<string>>"
 
 
@@ -157,9 +158,9 @@ def leaf_pairs(nodes: DataFrame | None, cfg: MineConfig, terms: DataFrame | None
     m = cfg.max_contexts
     if cfg.max_path_len:
         return _length_limited_pairs(terms, cfg)
-    top = ranked_terminals(terms, cfg, m + 2)
+    top = ranked_terminals(terms, cfg, m + 2).withColumn("tok", _leaf_tokens(cfg))
     leaves = (top.groupBy("tree_id")
-              .agg(F.array_sort(F.collect_list(F.struct("rank", *LEAF_FIELDS))).alias("leaves")))
+              .agg(F.array_sort(F.collect_list(F.struct("rank", *PAIR_FIELDS))).alias("leaves")))
     counts = terminal_counts(terms)
     per_tree = leaves.join(counts, "tree_id")
     p = F.explode(_pairs_in_row(F.col("n_terminals"), m)).alias("p")
@@ -167,8 +168,13 @@ def leaf_pairs(nodes: DataFrame | None, cfg: MineConfig, terms: DataFrame | None
     a = F.element_at("leaves", (F.col("p.i") + 1).cast("int"))
     b = F.element_at("leaves", (F.col("p.j") + 1).cast("int"))
     return exploded.select("tree_id", F.col("p.idx").alias("pair_idx"),
-                           *[a[f].alias(f"a_{f}") for f in LEAF_FIELDS],
-                           *[b[f].alias(f"b_{f}") for f in LEAF_FIELDS])
+                           *[a[f].alias(f"a_{f}") for f in PAIR_FIELDS],
+                           *[b[f].alias(f"b_{f}") for f in PAIR_FIELDS])
+
+
+def _leaf_tokens(cfg: MineConfig):
+    """Subtokens of a leaf, computed once per kept leaf rather than once per pair."""
+    return token_or_subtokens("label", "is_reserved", cfg.max_subtokens)
 
 
 def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
@@ -181,7 +187,7 @@ def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
     cut to the first ``m + 1`` per tree by a bounded top-k.
     """
     m, limit = cfg.max_contexts, cfg.max_path_len
-    ranked = cut_lineage(ranked_terminals(terms, cfg, None))
+    ranked = cut_lineage(ranked_terminals(terms, cfg, None).withColumn("tok", _leaf_tokens(cfg)))
     counts = terminal_counts(terms).where(F.col("n_terminals") >= 2)
     pending = counts.withColumn("found", F.lit(0).cast("bigint"))
     lo, width = 0, max(1, cfg.length_round_start)
@@ -193,10 +199,10 @@ def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
         keys = pending.select("tree_id")
         starts = ranked.where((F.col("rank") >= lo) & (F.col("rank") < lo + width)).join(keys, "tree_id", "left_semi")
         partners = ranked.where(F.col("rank") > lo).join(keys, "tree_id", "left_semi")
-        a = starts.select("tree_id", F.col("rank").alias("ra"), *[F.col(f).alias(f"a_{f}") for f in LEAF_FIELDS])
-        b = partners.select("tree_id", F.col("rank").alias("rb"), *[F.col(f).alias(f"b_{f}") for f in LEAF_FIELDS])
+        a = starts.select("tree_id", F.col("rank").alias("ra"), *[F.col(f).alias(f"a_{f}") for f in PAIR_FIELDS])
+        b = partners.select("tree_id", F.col("rank").alias("rb"), *[F.col(f).alias(f"b_{f}") for f in PAIR_FIELDS])
         cand = (a.join(b, "tree_id").where(F.col("rb") > F.col("ra"))
-                .where(path_len(F.size("a_ids"), F.size("b_ids"), common_prefix_len("a_ids", "b_ids")) <= limit))
+                .where(path_len(F.size("a_ids"), F.size("b_ids"), lca_depth("a_ids", "b_ids")) <= limit))
         cand = cut_lineage(cand)
         rounds.append(cand)
         found = cand.groupBy("tree_id").agg(F.count("*").alias("n_new"))
@@ -206,29 +212,24 @@ def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
                    .select("tree_id", "n_terminals", (F.col("found") + F.coalesce("n_new", F.lit(0))).alias("found"))
                    .where((F.col("found") <= m) & (F.col("n_terminals") - 1 > lo)))
     if not rounds:
-        schema = terms.select("tree_id").schema
-        empty = terms.sparkSession.createDataFrame([], schema)
-        return empty.select("tree_id", F.lit(0).cast("bigint").alias("pair_idx"),
-                            *[F.lit(None).alias(f"a_{f}") for f in LEAF_FIELDS],
-                            *[F.lit(None).alias(f"b_{f}") for f in LEAF_FIELDS]).where(F.lit(False))
+        return (ranked.select("tree_id", F.lit(0).cast("bigint").alias("pair_idx"),
+                              *[F.col(f).alias(f"a_{f}") for f in PAIR_FIELDS],
+                              *[F.col(f).alias(f"b_{f}") for f in PAIR_FIELDS]).where(F.lit(False)))
     allc = reduce(DataFrame.unionByName, rounds)
     w = Window.partitionBy("tree_id").orderBy("ra", "rb")
     return (allc.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= m + 1)
             .select("tree_id", (F.col("rn") - 1).cast("bigint").alias("pair_idx"),
-                    *[f"a_{f}" for f in LEAF_FIELDS], *[f"b_{f}" for f in LEAF_FIELDS]))
+                    *[f"a_{f}" for f in PAIR_FIELDS], *[f"b_{f}" for f in PAIR_FIELDS]))
 
 
 # ------------------------------------------------------------ E2-E4 contexts
 def pair_contexts(pairs: DataFrame, cfg: MineConfig) -> DataFrame:
     """tree_id, pair_idx, start, path, end (arrays) and ``bad`` (a token with no subtoken)."""
-    lca = common_prefix_len("a_ids", "b_ids")
-    start = token_or_subtokens("a_label", "a_is_reserved", cfg.max_subtokens)
-    end = token_or_subtokens("b_label", "b_is_reserved", cfg.max_subtokens)
-    return (pairs.withColumn("lca", lca)
+    return (pairs.withColumn("lca", lca_depth("a_ids", "b_ids"))
             .select("tree_id", "pair_idx",
-                    start.alias("start"),
+                    F.col("a_tok").alias("start"),
                     inner_path("a_labels", "b_labels", F.col("lca")).alias("path"),
-                    end.alias("end"))
+                    F.col("b_tok").alias("end"))
             .withColumn("bad", (F.size("start") == 0) | (F.size("end") == 0)))
 
 

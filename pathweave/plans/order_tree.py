@@ -46,18 +46,24 @@ def _names(s):
     return ["node_id", "parent_id", "label", "is_reserved", "depth", "ids", "labels", "sort_key"]
 
 
-def order_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_tree_nodes(spark: SparkSession, sf_dir: str, leaves_only: bool = False) -> DataFrame:
+    """All nodes of every order tree; with ``leaves_only`` just its terminals
+    (the value leaves: every order tree has a STATUS and a PRIORITY branch, so
+    the root is never a leaf and the terminals are known without a degree join)."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     L = F.lit
-    order_nodes = F.array(
+    inner_o = [
         _node("o", None, L("ORDER"), True, [L("o")], [L("ORDER")], _sort_key(-1)),
         _node("s", L("o"), L("STATUS"), True, [L("o"), L("s")], [L("ORDER"), L("STATUS")], _sort_key(-1)),
+        _node("p", L("o"), L("PRIORITY"), True, [L("o"), L("p")], [L("ORDER"), L("PRIORITY")], _sort_key(-1)),
+    ]
+    leaves_o = [
         _node("sv", L("s"), F.col("o_orderstatus"), False, [L("o"), L("s"), L("sv")],
               [L("ORDER"), L("STATUS"), F.col("o_orderstatus")], _sort_key(0)),
-        _node("p", L("o"), L("PRIORITY"), True, [L("o"), L("p")], [L("ORDER"), L("PRIORITY")], _sort_key(-1)),
         _node("pv", L("p"), F.col("o_orderpriority"), False, [L("o"), L("p"), L("pv")],
               [L("ORDER"), L("PRIORITY"), F.col("o_orderpriority")], _sort_key(1)),
-    )
+    ]
+    order_nodes = F.array(*(leaves_o if leaves_only else inner_o + leaves_o))
     on = orders.select(F.col("o_orderkey").alias("tree_id"), F.inline(order_nodes)).toDF("tree_id", *_names(None))
 
     # Line items are told apart inside an order by content (unique in the driver data),
@@ -69,19 +75,22 @@ def order_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lid = F.concat(L("l"), F.concat_ws(":", "l_linenumber", "l_partkey", "l_suppkey",
                                        F.round(F.col("l_extendedprice") * 100).cast("bigint")))
     ids_l = [L("o"), lid]
-    line_nodes = F.array(
+    inner_l = [
         _node(lid, L("o"), L("LINEITEM"), True, ids_l, [L("ORDER"), L("LINEITEM")], _sort_key(-1, key)),
         _node(F.concat(lid, L("f")), lid, L("FLAG"), True, ids_l + [F.concat(lid, L("f"))],
               [L("ORDER"), L("LINEITEM"), L("FLAG")], _sort_key(-1, key)),
+        _node(F.concat(lid, L("p")), lid, L("PART"), True, ids_l + [F.concat(lid, L("p"))],
+              [L("ORDER"), L("LINEITEM"), L("PART")], _sort_key(-1, key)),
+    ]
+    leaves_l = [
         _node(F.concat(lid, L("fv")), F.concat(lid, L("f")), F.col("l_returnflag"), False,
               ids_l + [F.concat(lid, L("f")), F.concat(lid, L("fv"))],
               [L("ORDER"), L("LINEITEM"), L("FLAG"), F.col("l_returnflag")], _sort_key(2, key)),
-        _node(F.concat(lid, L("p")), lid, L("PART"), True, ids_l + [F.concat(lid, L("p"))],
-              [L("ORDER"), L("LINEITEM"), L("PART")], _sort_key(-1, key)),
         _node(F.concat(lid, L("pv")), F.concat(lid, L("p")), F.col("p_name"), False,
               ids_l + [F.concat(lid, L("p")), F.concat(lid, L("pv"))],
               [L("ORDER"), L("LINEITEM"), L("PART"), F.col("p_name")], _sort_key(3, key)),
-    )
+    ]
+    line_nodes = F.array(*(leaves_l if leaves_only else inner_l + leaves_l))
     ln = li.select(F.col("l_orderkey").alias("tree_id"), F.inline(line_nodes)).toDF("tree_id", *_names(None))
     return on.unionByName(ln)
 
@@ -98,3 +107,7 @@ def order_trees(spark: SparkSession, sf_dir: str, max_subtokens: int = 5) -> Dat
                     tokenize(F.col("o_orderpriority"), max_subtokens).alias("target"),
                     F.col("o_custkey").cast("string").alias("file"),
                     F.col("o_orderkey").alias("line"))
+
+
+def order_tree_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_tree_nodes(spark, sf_dir, leaves_only=True)

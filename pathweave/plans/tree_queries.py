@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MineConfig
-from ..functions.paths import common_prefix_len, path_len
+from ..functions.paths import lca_depth, path_len
 from ..functions.text import format_sample
 from ..operators import tree as T
 from ..operators.quality import validate_samples
 from .document_tree import document_terminals, document_trees
-from .order_tree import order_tree_edges, order_tree_nodes, order_trees
+from .order_tree import order_tree_edges, order_tree_nodes, order_tree_terminals, order_trees
 from .sql_dt import dt_ctx_sql
 from .registry import register
 from .sql_ot import OT_NODES_SQL, ot_pairs_sql, ot_ranked_sql, tok_sql
@@ -58,7 +58,7 @@ def q_terminals(spark, sf):
 @register("terminal_order", f"""WITH {ot_ranked_sql('random')}
 SELECT tree_id, rk AS leaf_rank, label FROM ot_ranked""")
 def q_terminal_order(spark, sf):
-    terms = T.terminals(order_tree_nodes(spark, sf))
+    terms = order_tree_terminals(spark, sf)
     return T.ranked_terminals(terms, RANDOM, None).select(
         "tree_id", F.col("rank").cast("bigint").alias("leaf_rank"), "label")
 
@@ -67,7 +67,7 @@ def q_terminal_order(spark, sf):
 @register("terminal_pairs", f"""WITH {ot_pairs_sql('fixed', 100)}
 SELECT tree_id, pair_idx, a_label, b_label FROM ot_ctx""")
 def q_terminal_pairs(spark, sf):
-    pairs = T.leaf_pairs(order_tree_nodes(spark, sf), MineConfig(leaf_order="fixed"))
+    pairs = T.leaf_pairs(None, MineConfig(leaf_order="fixed"), order_tree_terminals(spark, sf))
     return pairs.select("tree_id", "pair_idx", F.col("a_label"), F.col("b_label"))
 
 
@@ -75,10 +75,10 @@ def q_terminal_pairs(spark, sf):
 @register("lca_paths", f"""WITH {ot_pairs_sql('random', 100)}
 SELECT tree_id, pair_idx, path_len, path FROM ot_ctx""")
 def q_lca_paths(spark, sf):
-    pairs = T.leaf_pairs(order_tree_nodes(spark, sf), RANDOM)
+    pairs = T.leaf_pairs(None, RANDOM, order_tree_terminals(spark, sf))
     ctx = T.pair_contexts(pairs, RANDOM).select("tree_id", "pair_idx", "path")
     lens = pairs.select("tree_id", "pair_idx",
-                        path_len(F.size("a_ids"), F.size("b_ids"), common_prefix_len("a_ids", "b_ids")).alias("path_len"))
+                        path_len(F.size("a_ids"), F.size("b_ids"), lca_depth("a_ids", "b_ids")).alias("path_len"))
     return ctx.join(lens, ["tree_id", "pair_idx"]).select(
         "tree_id", "pair_idx", F.col("path_len").cast("bigint").alias("path_len"),
         F.array_join("path", "|").alias("path"))
@@ -88,7 +88,7 @@ def q_lca_paths(spark, sf):
 @register("path_contexts", f"""WITH {ot_pairs_sql('fixed', 20)}
 SELECT {CTX_COLS} FROM ot_ctx""")
 def q_path_contexts(spark, sf):
-    return flat_contexts(T.mine_contexts(order_tree_nodes(spark, sf), FIXED20))
+    return flat_contexts(T.mine_contexts(None, FIXED20, order_tree_terminals(spark, sf)))
 
 
 # ---------------------------------------------------------------------- E5
@@ -96,9 +96,9 @@ def q_path_contexts(spark, sf):
 SELECT tree_id, max(t) AS n_terminals, least(max(t) * (max(t) - 1) // 2, 101) AS n_contexts
 FROM ot_ranked GROUP BY tree_id HAVING max(t) >= 2""")
 def q_context_cap(spark, sf):
-    nodes = order_tree_nodes(spark, sf)
-    ctx = T.mine_contexts(nodes, RANDOM).groupBy("tree_id").agg(F.count("*").alias("n_contexts"))
-    counts = T.terminal_counts(T.terminals(nodes))
+    terms = order_tree_terminals(spark, sf)
+    ctx = T.mine_contexts(None, RANDOM, terms).groupBy("tree_id").agg(F.count("*").alias("n_contexts"))
+    counts = T.terminal_counts(terms)
     return ctx.join(counts, "tree_id").select("tree_id", "n_terminals", "n_contexts")
 
 
@@ -113,7 +113,7 @@ def q_depth_limit(spark, sf):
 @register("path_length_filter", f"""WITH {ot_pairs_sql('fixed', 20, path_limit=5)}
 SELECT {CTX_COLS} FROM ot_ctx""")
 def q_path_length_filter(spark, sf):
-    return flat_contexts(T.mine_contexts(order_tree_nodes(spark, sf), FIXED20.with_(max_path_len=5)))
+    return flat_contexts(T.mine_contexts(None, FIXED20.with_(max_path_len=5), order_tree_terminals(spark, sf)))
 
 
 # ---------------------------------------------------------------------- E6 / J3
@@ -129,8 +129,8 @@ FROM s JOIN orders o ON o.o_orderkey = s.tree_id"""
 
 
 def ot_samples(spark, sf, cfg: MineConfig = RANDOM):
-    nodes = order_tree_nodes(spark, sf)
-    samples, rejects = T.assemble_samples(T.mine_contexts(nodes, cfg), order_trees(spark, sf, cfg.max_subtokens))
+    ctx = T.mine_contexts(None, cfg, order_tree_terminals(spark, sf))
+    samples, rejects = T.assemble_samples(ctx, order_trees(spark, sf, cfg.max_subtokens))
     return samples, rejects
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,9 +69,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss, unlike localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing the rows as parquet into the shared checkpoint folder.
+
+    Survives executor loss (unlike ``localCheckpoint``), computes the plan once
+    (``checkpoint()`` on an unpersisted plan computes it twice: once to count,
+    once to save) and stores columns compressed instead of serialised rows.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/pw-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
