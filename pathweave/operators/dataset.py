@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import DatasetConfig
+from ..config import DatasetConfig  # noqa: F401  (re-exported)
 from ..functions.text import format_sample, pad_row
 
 HASH_HEX_DIGITS = 5  # 16^5 buckets at most: offsets table <= 1,048,576 rows

@@ -42,7 +42,8 @@ def q_root_paths(spark, sf):
 @register("node_degree", f"""WITH {OT_NODES_SQL}
 SELECT tree_id, label, depth, degree FROM ot_nodes""")
 def q_node_degree(spark, sf):
-    return T.node_degree(order_tree_nodes(spark, sf)).select("tree_id", "label", "depth", "degree")
+    return T.node_degree(order_tree_nodes(spark, sf)).select("tree_id", "label", "depth",
+                                                            F.col("degree").cast("bigint").alias("degree"))
 
 
 # ---------------------------------------------------------------------- D2
