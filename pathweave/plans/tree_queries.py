@@ -197,3 +197,14 @@ SELECT {CTX_COLS} FROM dt_ctx""")
 def q_collapse_transparent(spark, sf):
     ctx, _ = dt_samples(spark, sf, transparent=True)
     return flat_contexts(ctx)
+
+
+# ---------------------------------------------------------------------- J3 on DT
+@register("format_sample", f"""WITH {dt_ctx_sql()},
+g AS (SELECT tree_id, string_agg(start_tok || ',' || path || ',' || end_tok, ' ' ORDER BY pair_idx) AS ctxs
+      FROM dt_ctx GROUP BY tree_id)
+SELECT s.file, s.line, array_to_string(s.target, '|') || ' ' || g.ctxs AS sample
+FROM dt_status s JOIN g ON g.tree_id = s.tree_id WHERE NOT s.any_bad AND len(s.target) > 0""")
+def q_format_sample(spark, sf):
+    _, (samples, _) = dt_samples(spark, sf)
+    return samples.select("file", "line", format_sample("target", "contexts").alias("sample"))
