@@ -18,8 +18,9 @@ Scale notes
 * Leaf pairs are generated in-row from that bounded array (no theta join): the
   output of the pair step is exactly the contexts that are kept.
 * With a path-length limit the kept pairs can come from any start leaf; pairs
-  are then produced in rounds of doubling start-rank windows until each tree
-  holds ``max_contexts + 1`` survivors or has no start leaf left (exact).
+  are then produced in rounds of doubling start-rank windows (each a bounded
+  top-k) until each tree holds ``max_contexts + 1`` survivors or has no start
+  leaf left (exact, and no tree is ranked whole).
 """
 
 from __future__ import annotations
@@ -180,28 +181,34 @@ def _leaf_tokens(cfg: MineConfig):
 def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
     """Exact first ``max_contexts + 1`` pairs whose full path fits ``max_path_len``.
 
-    Rounds over doubling windows of start ranks: all partners of the window's
-    start leaves are joined (AQE splits a skewed tree), filtered on the path
-    length computed from array sizes (before any string work), and trees that
-    reached the cap leave the pending set.  The survivors of all rounds are
-    cut to the first ``m + 1`` per tree by a bounded top-k.
+    Rounds over doubling windows of start ranks.  A round's start leaves are
+    ranks ``[lo, lo + width)``, taken from a bounded top-``(lo + width)``
+    (partial ``WindowGroupLimit``); its partners are all leaves of the tree
+    ordered after the start, found by comparing order keys, so no tree is
+    ever ranked whole.  Pairs are filtered on the path length computed from
+    array sizes (before any string work).  Trees holding ``max_contexts + 1``
+    survivors, or with no start leaf left, leave the pending set.  The
+    survivors of all rounds are cut to the first ``m + 1`` per tree by a
+    bounded top-k in combination order.
     """
     m, limit = cfg.max_contexts, cfg.max_path_len
-    ranked = cut_lineage(ranked_terminals(terms, cfg, None).withColumn("tok", _leaf_tokens(cfg)))
-    counts = terminal_counts(terms).where(F.col("n_terminals") >= 2)
+    okey = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(leaf_order_key(terms, cfg))])
+    leaves = cut_lineage(terms.withColumn("okey", okey).withColumn("tok", _leaf_tokens(cfg)))
+    counts = terminal_counts(leaves).where(F.col("n_terminals") >= 2)
     pending = counts.withColumn("found", F.lit(0).cast("bigint"))
     lo, width = 0, max(1, cfg.length_round_start)
     rounds = []
+    fields = PAIR_FIELDS + ["okey"]
     while True:
         pending = cut_lineage(pending)
         if pending.isEmpty():
             break
         keys = pending.select("tree_id")
-        starts = ranked.where((F.col("rank") >= lo) & (F.col("rank") < lo + width)).join(keys, "tree_id", "left_semi")
-        partners = ranked.where(F.col("rank") > lo).join(keys, "tree_id", "left_semi")
-        a = starts.select("tree_id", F.col("rank").alias("ra"), *[F.col(f).alias(f"a_{f}") for f in PAIR_FIELDS])
-        b = partners.select("tree_id", F.col("rank").alias("rb"), *[F.col(f).alias(f"b_{f}") for f in PAIR_FIELDS])
-        cand = (a.join(b, "tree_id").where(F.col("rb") > F.col("ra"))
+        live = leaves.join(keys, "tree_id", "left_semi")
+        starts = ranked_terminals(live, cfg, lo + width).where(F.col("rank") >= lo)
+        a = starts.select("tree_id", *[F.col(f).alias(f"a_{f}") for f in fields])
+        b = live.select("tree_id", *[F.col(f).alias(f"b_{f}") for f in fields])
+        cand = (a.join(b, "tree_id").where(F.col("b_okey") > F.col("a_okey"))
                 .where(path_len(F.size("a_ids"), F.size("b_ids"), lca_depth("a_ids", "b_ids")) <= limit))
         cand = cut_lineage(cand)
         rounds.append(cand)
@@ -211,15 +218,15 @@ def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
         pending = (pending.join(found, "tree_id", "left")
                    .select("tree_id", "n_terminals", (F.col("found") + F.coalesce("n_new", F.lit(0))).alias("found"))
                    .where((F.col("found") <= m) & (F.col("n_terminals") - 1 > lo)))
+    out_cols = [f"a_{f}" for f in PAIR_FIELDS] + [f"b_{f}" for f in PAIR_FIELDS]
     if not rounds:
-        return (ranked.select("tree_id", F.lit(0).cast("bigint").alias("pair_idx"),
-                              *[F.col(f).alias(f"a_{f}") for f in PAIR_FIELDS],
-                              *[F.col(f).alias(f"b_{f}") for f in PAIR_FIELDS]).where(F.lit(False)))
+        return leaves.select("tree_id", F.lit(0).cast("bigint").alias("pair_idx"),
+                             *[F.col(f).alias(f"a_{f}") for f in PAIR_FIELDS],
+                             *[F.col(f).alias(f"b_{f}") for f in PAIR_FIELDS]).where(F.lit(False))
     allc = reduce(DataFrame.unionByName, rounds)
-    w = Window.partitionBy("tree_id").orderBy("ra", "rb")
+    w = Window.partitionBy("tree_id").orderBy("a_okey", "b_okey")
     return (allc.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= m + 1)
-            .select("tree_id", (F.col("rn") - 1).cast("bigint").alias("pair_idx"),
-                    *[f"a_{f}" for f in PAIR_FIELDS], *[f"b_{f}" for f in PAIR_FIELDS]))
+            .select("tree_id", (F.col("rn") - 1).cast("bigint").alias("pair_idx"), *out_cols))
 
 
 # ------------------------------------------------------------ E2-E4 contexts
