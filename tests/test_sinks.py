@@ -1,0 +1,52 @@
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from pathweave import sinks
+from pathweave.config import DatasetConfig
+from pathweave.operators import cursors as C
+from pathweave.operators import dataset as D
+from pathweave.operators.vocab import histograms
+from pathweave.plans.tree_queries import ot_samples
+from pathweave.sources import c2s
+from tests.cursor_fixtures import cur, cursor_df
+
+
+def test_histogram_text_round_trip(spark, sf):
+    samples, _ = ot_samples(spark, sf)
+    hist = histograms(samples)
+    out = tempfile.mkdtemp(prefix="pw-hist-")
+    sinks.write_histogram(hist, out)
+    back = c2s.read_histogram(spark, os.path.join(out, "kind=node"), "node")
+    want = {(r["token"], r["cnt"]) for r in hist.where(F.col("kind") == "node").collect()}
+    assert {(r["token"], r["cnt"]) for r in back.collect()} == want
+    # lines without exactly two parts are skipped
+    bad = tempfile.mkdtemp(prefix="pw-hist-bad-")
+    open(os.path.join(bad, "h.txt"), "w").write("a 1\nb c 2\n\nd 4\n")
+    assert sorted(r["token"] for r in c2s.read_histogram(spark, bad, "x").collect()) == ["a", "d"]
+
+
+def test_split_and_padded_sinks(spark, sf):
+    samples, _ = ot_samples(spark, sf)
+    cfg = DatasetConfig()
+    ds = D.shuffle_split(samples.select("file", "line", "target", "contexts"), cfg)
+    out = tempfile.mkdtemp(prefix="pw-split-")
+    sinks.write_splits(ds, out + "/parquet")
+    sinks.write_splits(ds, out + "/text", fmt="text")
+    assert {"split=test", "split=train", "split=val"} <= set(os.listdir(out + "/parquet"))
+    back = c2s.read_dataset(spark, out + "/text/split=train")
+    assert back.count() == ds.where(F.col("split") == "train").count()
+    padded = D.padded_lines(D.sample_contexts(ds, cfg), cfg)
+    sinks.write_padded(padded, out + "/padded")
+    line = spark.read.text(out + "/padded/split=test").first()["value"]
+    parts = line.split(" ")
+    assert len(parts) >= cfg.max_data_contexts  # trailing spaces kept by the text sink
+
+
+def test_span_text_lookup(spark):
+    rows = [cur("op", None, "BINARY_OPERATOR", tokens=[("IDENTIFIER", "M")], loc_file="a.cc")]
+    df = cursor_df(spark, rows).withColumn("start_offset", F.lit(4)).withColumn("end_offset", F.lit(9))
+    src = spark.createDataFrame([("a.cc", "int a+b|c;")], "loc_file string, text string")
+    got = C.attach_span_text(df, src).select(C.node_label().alias("l")).first()["l"]
+    assert got == "BINARY_OPERATOR_+_OPERATOR_BINARY_OR"
