@@ -16,19 +16,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def common_prefix_len(x, y) -> Column:
-    """Length of the common prefix of two arrays (1 = only the root shared)."""
-    x, y = _c(x), _c(y)
-    n = F.least(F.size(x), F.size(y))
-    return F.when(n <= 0, F.lit(0)).otherwise(
-        F.aggregate(
-            F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-            F.lit(0),
-            lambda acc, p: F.when((acc == p - 1) & (F.element_at(x, p) == F.element_at(y, p)), p).otherwise(acc),
-        )
-    )
-
-
 def lca_depth(ids_a, ids_b) -> Column:
     """Common-prefix length of two root paths of one tree.
 
