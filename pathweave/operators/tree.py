@@ -110,11 +110,20 @@ def leaf_order_key(df: DataFrame, cfg: MineConfig) -> list:
     return [F.col("sort_key"), F.col("node_id")]
 
 
+RANK_BUCKET_HEX = 4  # a whole-tree rank spreads each tree over up to 16^4 md5 buckets
+
+
 def ranked_terminals(terms: DataFrame, cfg: MineConfig, top: int | None) -> DataFrame:
     """0-based ``rank`` of each leaf in its tree; with ``top`` only ranks < top.
 
     ``row_number() <= top`` becomes a partial + final ``WindowGroupLimit``.
+    A whole-tree rank in md5 order is a bucketed dense rank instead of one
+    window per tree: buckets are md5 prefixes inside a tree, their sizes come
+    from a partial count, and a leaf's rank is its bucket's offset plus its
+    place inside the bucket (each window holds one bucket, not one tree).
     """
+    if top is None and cfg.leaf_order == "random":
+        return _bucketed_rank(terms, cfg)
     w = Window.partitionBy("tree_id").orderBy(*leaf_order_key(terms, cfg))
     ranked = terms.withColumn("rn", F.row_number().over(w))
     if top is not None:
@@ -122,6 +131,19 @@ def ranked_terminals(terms: DataFrame, cfg: MineConfig, top: int | None) -> Data
     return ranked.withColumn("rank", F.col("rn") - 1).drop("rn")
 
 
+def _bucketed_rank(terms: DataFrame, cfg: MineConfig) -> DataFrame:
+    h, node = leaf_order_key(terms, cfg)
+    keyed = terms.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, RANK_BUCKET_HEX))
+    sizes = keyed.groupBy("tree_id", "_b").agg(F.count("*").alias("_n"))
+    offs = sizes.select("tree_id", "_b", (F.sum("_n").over(
+        Window.partitionBy("tree_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+        .alias("_off"))
+    w = Window.partitionBy("tree_id", "_b").orderBy("_h", node)
+    return (keyed.join(offs, ["tree_id", "_b"])
+            .withColumn("rank", (F.col("_off") + F.row_number().over(w) - 1).cast("int"))
+            .drop("_h", "_b", "_off"))
+
+
 def terminal_counts(terms: DataFrame) -> DataFrame:
     return terms.groupBy("tree_id").agg(F.count("*").alias("n_terminals"))
 
