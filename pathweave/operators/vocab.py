@@ -98,9 +98,16 @@ def vocab_index(vocab: DataFrame, specials: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D5 / D6
-def context_vocab_flags(samples: DataFrame, vocab: DataFrame, subtoken_bounded: bool = True,
+BROADCAST_VOCAB_ROWS = 5_000_000  # a cut vocabulary up to this many tokens is broadcast
+
+
+def context_vocab_flags(samples: DataFrame, vocab: DataFrame, subtoken_limit: int | None = None,
                         keep: list[str] | None = None) -> DataFrame:
-    """Per context: whole start / path / end strings looked up in the subtoken and node vocabularies."""
+    """Per context: whole start / path / end strings looked up in the subtoken and node vocabularies.
+
+    The subtoken vocabulary is broadcast only when it was cut to ``subtoken_limit``
+    tokens and that bound is small; otherwise the planner chooses the join.
+    """
     keep = list(keep or [])
     ctx = samples.select("file", "line", *keep, F.posexplode("contexts").alias("ctx_pos", "c")).select(
         "file", "line", *keep, "ctx_pos",
@@ -108,7 +115,7 @@ def context_vocab_flags(samples: DataFrame, vocab: DataFrame, subtoken_bounded:
         F.array_join("c.end", BAR).alias("e"))
     sub = vocab.where(F.col("kind") == "subtoken").select(F.col("token").alias("_t"), F.lit(True).alias("_in"))
     node = vocab.where(F.col("kind") == "node").select(F.col("token").alias("_t"), F.lit(True).alias("_in"))
-    if subtoken_bounded:
+    if subtoken_limit is not None and subtoken_limit <= BROADCAST_VOCAB_ROWS:
         sub = F.broadcast(sub)
     out = ctx
     for col, voc, flag in (("s", sub, "in_start"), ("p", node, "in_path"), ("e", sub, "in_end")):

@@ -298,7 +298,7 @@ flags AS (
 
 def _flags(spark, sf):
     ds, vocab = train_vocab(spark, sf)
-    return V.context_vocab_flags(ds, vocab, keep=["split"])
+    return V.context_vocab_flags(ds, vocab, subtoken_limit=DEFAULT.subtoken_vocab_size, keep=["split"])
 
 
 @register("context_in_vocab", VOCAB_FLAG_SQL + """
