@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
+# a word that the next word repeats
+STUTTER = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)(?=[\x20\x09-\x0D]++\1(?![^\x20\x09-\x0D]))"
 WINDOW = 8
 SAMPLE_ROWS = 2000      # rows looked at to order the rules; bounds what the driver receives
 
@@ -103,6 +105,7 @@ RULES = (
     Rule("duplicate_lines", lambda: 100 * F.col("n_dup_lines") > 50 * F.col("n_lines"), _ONE),
     Rule("capitals", lambda: _chars_of(r"\p{Lu}") > 0.5 * F.col("word_chars"), _whole(4.0)),
     Rule("exclamations", lambda: _chars_of("!") > 0.5 * F.col("n_words"), _whole(3.0)),
+    Rule("stutter", lambda: F.regexp_count("text", F.lit(STUTTER)) > 0.3 * F.col("n_words"), _whole(10.0)),
     Rule("no_letters", lambda: _chars_of(r"\p{L}") < 0.5 * F.col("word_chars"), _whole(6.0)),
 )
 

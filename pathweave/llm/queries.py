@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pathweave.session import table
 
-from . import chat, pii, quality
+from . import chat, dedup, pii, quality, secrets, toxicity
 from .registry import register
 
 
@@ -45,3 +45,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
+
+
+@register("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.fit(docs, learnt))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op5_secrets")
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = [r.name for r in secrets.RULES if r.base]
+    of = lambda *names: F.filter("spans", lambda s: s["kind"].isin(*names))
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(secrets.span_text(of(*base)), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"))
+
+
+OP7_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+     g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM t JOIN g USING (t)
+"""
+
+
+@register("op7_dedup", OP7_SQL)
+def op7_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
