@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathweave.session import table
+from pathweave.session import ensure_checkpoint_dir, table
 
-from . import chat, dedup, pii, quality, secrets, toxicity
+from . import bpe, chat, dedup, packing, pii, quality, secrets, toxicity, warc
 from .registry import register
 
 
@@ -76,3 +78,23 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 @register("op7_dedup", OP7_SQL)
 def op7_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op2_warc")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pw-warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))

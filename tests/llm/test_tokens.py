@@ -1,0 +1,191 @@
+"""BPE, packing and WARC bundles against the public libraries and plain Python."""
+
+import base64
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pathweave.llm import bpe, packing, registry, warc
+
+from . import brute
+
+registry.load_all()
+
+
+@pytest.fixture(scope="module")
+def texts(spark, sf):
+    real = [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    return brute.HARD_TEXTS + ["a  b   \n\n c\t\td \r\n  e", "don't I'LL we've 's", "x" * 3000, "½²③ ٣٤ 你好 🙂🙂 á Å ΑΣ İI", "a\x1cb\x85c\xa0d"] + real
+
+
+@pytest.fixture(scope="module")
+def folder(spark, texts, tmp_path_factory):
+    return brute.save(brute.documents(spark, texts).repartition(5), tmp_path_factory.mktemp("docs"), "documents")
+
+
+@pytest.mark.parametrize("tokens", [1_500_000, 3000])
+def test_bpe_equals_tiktoken_and_decodes(spark, folder, texts, tokens):
+    import tiktoken
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    cfg = bpe.BpeConfig(block_tokens=tokens, known_words=5000, decode_tokens=1000)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r for r in bpe.decode(bpe.encode(docs, cfg), cfg).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert list(got[i].ids) == enc.encode_ordinary(t or ""), t
+        assert bytes(got[i].decoded) == (t or "").encode()
+
+
+def test_bpe_query_and_odd_tables(spark, folder, texts):
+    rows = registry.QUERIES["op6_bpe"](spark, folder).collect()
+    assert len(rows) == len(texts)
+    assert all(r.decoded_sha256 == brute.sha(texts[r.doc_id] or "") for r in rows)
+    docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, None)], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, len(r.ids)) for r in bpe.encode(docs).collect()) == [(0, 2), (0, 2), (1, 0)]
+    assert bpe.encode(docs.limit(0)).count() == 0
+
+
+def _packed_right(rows, capacity):
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for s in by.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def test_packing_query(spark, folder, texts):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    tok.encode_special_tokens = True
+    rows = registry.QUERIES["op9_packing"](spark, folder).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append(r)
+    assert len(by) == len(texts)
+    total = 0
+    for i, t in enumerate(texts):
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        total += len(ids)
+        want = [(k, a, min(2048, len(ids) - a), zlib.crc32(ids[a:a + 2048].tobytes())) for k, a in enumerate(range(0, len(ids), 2048))]
+        assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in by[i]) == want, t
+    assert _packed_right(rows, 2048) <= max(-(-total // 2048) + 1, int(1.01 * total / 2048) + 1)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 50), st.integers(1, 40), min_size=1, max_size=20))
+def test_plan_is_a_packing_and_near_the_bound(counts):
+    plan = packing.Plan(counts, 50)
+    seen = {}
+    fill = {}
+    ends = {}
+    for length, first, base, per, offset in sorted(plan.rows):
+        assert first == ends.get(length, 0)
+        later = [r[1] for r in plan.rows if r[0] == length and r[1] > first]
+        n = (min(later) if later else counts[length]) - first
+        ends[length] = first + n
+        for q in range(n):
+            fill.setdefault(base + q // per, []).append((offset + q % per * length, length))
+        seen[length] = seen.get(length, 0) + n
+    assert seen == counts
+    for s in fill.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= 50
+    assert len(fill) == plan.sequences
+    big = sum(n for a, n in counts.items() if 2 * a > 50)
+    bound = max(big, -(-sum(a * n for a, n in counts.items()) // 50))
+    assert plan.sequences <= 1.25 * bound + 1
+
+
+def test_reduction_is_optimal_on_small_cases():
+    rng = random.Random(3)
+
+    def best(items, cap):
+        items = sorted(items, reverse=True)
+        top = [len(items)]
+
+        def go(i, bins):
+            if len(bins) >= top[0]:
+                return
+            if i == len(items):
+                top[0] = len(bins)
+                return
+            for k in range(len(bins)):
+                if bins[k] + items[i] <= cap and bins[k] not in bins[:k]:
+                    go(i + 1, bins[:k] + [bins[k] + items[i]] + bins[k + 1:])
+            go(i + 1, bins + [items[i]])
+        go(0, [])
+        return top[0]
+
+    for _ in range(60):
+        items = [rng.randint(1, 20) for _ in range(8)]
+        counts = {a: items.count(a) for a in items}
+        plan = packing.Plan(counts, 20)
+        free = packing.Plan.__new__(packing.Plan)
+        free.capacity, free.left, free.used, free.rows, free.sequences, free.fixed = 20, dict(counts), {}, [], 0, 0
+        free._reduce()
+        rest = [a for a, n in free.left.items() for _ in range(n)]
+        assert free.sequences + best(rest, 20) == best(items, 20)       # what was fixed is part of an optimum
+        assert plan.sequences <= best(items, 20) + 1
+
+
+def test_packing_odd_tables(spark):
+    docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, None), (1, "")], "doc_id long, text string")
+    rows = packing.pack(docs).collect()
+    assert sorted(r.length for r in rows) == [1, 1, 3, 3] and _packed_right(rows, 2048) == 1
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def _pages():
+    big = "é" * 600
+    return [(1, "http://a", big), (2, "http://b\r\nX: y", big), (3, None, big), (4, "u", "small"), (5, "u", "small"), (6, "u", None),
+            (7, "u", ""), (None, "n", big), (8, "w", "WARC/1.1\r\n\r\n" * 100), (3, "again", big), (9, "z", "y" * 400_000)] \
+        + [(100 + i, f"h{i}", "hot" * 500) for i in range(300)]
+
+
+def test_warc_contract_and_random_access(spark, tmp_path):
+    rows = _pages()
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    brute.save(docs, tmp_path, "pages")
+    got = registry.QUERIES["op2_warc"](spark, str(tmp_path)).collect()
+    top = {}
+    for p, _, h in rows:
+        if len((h or "").encode()) >= 1000:
+            top[h] = max(top.get(h, -1), -1 if p is None else p)
+    want = []
+    for p, _, h in rows:
+        raw = (h or "").encode()
+        revisit = h in top and (-1 if p is None else p) < top[h]
+        want.append((p, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", top[h] if revisit else None))
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    path = f"{tmp_path}/bundles"
+    warc.write(docs, path, warc.WarcConfig(frame_bytes=2000, bundle_bytes=3000))
+    table = spark.read.parquet(path)
+    assert table.count() > 2
+    for r in table.collect():
+        import zstandard
+        whole = zstandard.ZstdDecompressor().stream_reader(bytes(r.content), read_across_frames=True).read()
+        assert whole.count(b"WARC-Record-ID") == r.records and len(warc.frames(bytes(r.content))) == r.frames
+    ids = spark.createDataFrame([(9,), (4,), (None,), (150,), (12345,)], "page_id long")
+    found = warc.fetch(spark, path, ids).collect()
+    assert sorted((r.page_id or 0) for r in found) == [0, 4, 9, 150]
+    by = {r.page_id: r for r in found}
+    assert bytes(by[9].payload) == b"y" * 400_000 and by[150].payload is None and by[150].refers_to == 399
+    assert warc.read(spark, path, payloads=True).where("page_id = 2").first().url == "http://b%0D%0AX: y"
+    warc.write(docs.limit(0), f"{tmp_path}/none")
+    assert warc.read(spark, f"{tmp_path}/none").count() == 0
