@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from pathweave.session import cut_lineage
 
+from .common import keep_marked
+
 HOT_SHARE = 1000
 SALTS = 64
 
@@ -67,18 +69,6 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def unique_rows(docs: DataFrame) -> DataFrame:
     """The input's rows and columns with one row of each group of equal texts."""
-    made = decisions(docs).select("doc_id", "kept", F.unhex("text_sha256").alias("__pw_digest"))
-    narrow = cut_lineage(made)
-    lost = narrow.where(~F.col("kept")).select("doc_id", "__pw_digest")
-    repeated = narrow.where("kept").groupBy("doc_id", "__pw_digest").count().where("count > 1").drop("count")
-    off = cut_lineage(lost.unionByName(repeated).distinct())
-    again = cut_lineage(repeated)
-
-    def meets(rows, ids, how):
-        other = ids.withColumnsRenamed({"doc_id": "__pw_id", "__pw_digest": "__pw_other"})
-        return rows.join(other, F.col("doc_id").eqNullSafe(F.col("__pw_id")) & (F.col("__pw_digest") == F.col("__pw_other")), how)
-
+    marked = cut_lineage(decisions(docs).select("doc_id", "kept", F.unhex("text_sha256").alias("__pw_digest")))
     rows = docs.withColumn("__pw_digest", hashes(normalized(F.col("text")))[0])
-    single = meets(rows, off, "left_anti")
-    one = meets(rows, again, "left_semi").dropDuplicates(["doc_id", "__pw_digest"])
-    return single.unionByName(one).select(*docs.columns)
+    return keep_marked(rows, marked, "__pw_digest").select(*docs.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pathweave.session import ensure_checkpoint_dir, table
 
-from . import bpe, chat, dedup, packing, pii, quality, secrets, toxicity, warc
+from . import bpe, chat, dedup, neardup, packing, pii, quality, secrets, toxicity, warc
 from .registry import register
 
 
@@ -98,3 +98,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op8_neardup")
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "class_id", "class_size", "kept")
