@@ -18,8 +18,9 @@ shingles that weigh less has a proven size whatever the corpus.
 3. Candidates: a bucket (band, hash) pairs its members with one of them, the
    first in a random order that differs between bands.  After verification, a
    bucket that still holds several classes pairs a new member, one of its
-   smallest class, with those of other classes, until ``patience`` rounds find
-   nothing new.  So a bucket of n members costs n pairs a round at most, not n squared.
+   smallest class, with those of other classes, ``rounds`` times in all.  So a
+   bucket of n members costs rounds * n pairs at most, not n squared; two texts
+   share about eight buckets at the threshold, each with its own centres.
 4. Verification: the weighted Jaccard similarity of the two whole texts is
    ``threshold`` or more.
 5. Classes: connected components by label propagation with pointer jumping.
@@ -55,7 +56,7 @@ class NearConfig:
     heavy: int = 200_000
     least_df: int = 16
     orders: int = 4                  # different random orders over the bands in the first round; then one a band
-    patience: int = 2                # rounds without a new link, each with new orders, after which none is expected
+    rounds: int = 3                  # of candidates; tests/llm holds the links found against all pairs
     chunk_chars: int = 2_000_000     # text hashed at once
     block_shingles: int = 3_000_000  # shingles counted before a task sends them
     ranges: int = 8                  # hash ranges per shuffle partition; one range is merged in memory
@@ -320,12 +321,9 @@ def _centred(members: DataFrame, spent: DataFrame | None, round_no: int, cfg: Ne
     bucket before, the first of those in the round's random order.
     """
     order = F.xxhash64("node", F.col("band") % (cfg.orders if round_no == 0 else cfg.bands), F.lit(round_no))
-    mixed = members.groupBy("band", "hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high")) \
-        .where("low != high").select("band", "hash")
     fresh = members if spent is None else members.join(spent, ["band", "hash", "node"], "left_anti")
-    first = fresh.groupBy("band", "hash").agg(F.min(F.struct("size", order.alias("o"), "node", "comp")).alias("f"))
-    centres = cut_lineage(first.join(mixed, ["band", "hash"]).select(
-        "band", "hash", F.col("f.node").alias("centre"), F.col("f.comp").alias("of")))
+    centres = cut_lineage(fresh.groupBy("band", "hash").agg(F.min(F.struct("size", order.alias("o"), "node", "comp")).alias("f"))
+                          .select("band", "hash", F.col("f.node").alias("centre"), F.col("f.comp").alias("of")))
     met = members.join(centres, ["band", "hash"]).where(F.col("comp") != F.col("of"))
     return met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), \
         centres.select("band", "hash", F.col("centre").alias("node"))
@@ -409,28 +407,22 @@ def classes(docs: DataFrame, cfg: NearConfig = NearConfig()) -> DataFrame:
     members = cut_lineage(entries.join(shared_buckets, ["band", "hash"]))
     texts = cut_lineage(_packed_texts(rows, members.select("node").distinct().join(per_text.select("node", "doc_id"), "node")))
 
-    one = F.lit(1).cast("long").alias("size")
-    links, tested, spent, comp, round_no, idle = None, None, None, None, 0, 0
-    while idle < cfg.patience:
-        if comp is None:
-            there = members.select("*", F.col("node").alias("comp"), one)
-        else:
+    links, spent, comp = None, None, None
+    there = members.select("*", F.col("node").alias("comp"), F.lit(1).cast("long").alias("size"))
+    for round_no in range(cfg.rounds):
+        if comp is not None:
+            # go on with the buckets that hold several classes still
             sized = comp.join(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "comp")
-            there = cut_lineage(members.join(sized, "node", "left").select(
+            now = cut_lineage(there.select("band", "hash", "node").join(sized, "node", "left").select(
                 "band", "hash", "node", F.coalesce("comp", "node").alias("comp"), F.coalesce("size", F.lit(1)).alias("size")))
+            mixed = now.groupBy("band", "hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+            there = cut_lineage(now.join(mixed.select("band", "hash"), ["band", "hash"]))
         pairs, centres = _centred(there, spent, round_no, cfg)
         spent = centres if spent is None else spent.unionAll(centres)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
         new = cut_lineage(_verified(pairs, texts, shared, cfg))
-        tested = pairs if tested is None else cut_lineage(tested.unionAll(pairs))
-        round_no += 1
-        if not new.take(1):
-            idle += 1
-            continue
-        links, idle = new if links is None else cut_lineage(links.unionAll(new)), 0
-        comp = components(links)
+        if new.take(1):
+            links = new if links is None else links.unionAll(new)
+            comp = components(links)
 
     named = per_text.drop("bands")
     named = named.withColumn("comp", F.col("node")) if comp is None else \
