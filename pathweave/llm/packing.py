@@ -24,6 +24,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
 from dataclasses import dataclass
 
@@ -40,16 +41,23 @@ class PackConfig:
     tokenizer: str | None = None     # file of the tokenizers library; None: word_bpe_49k.json of public_tokenizers
     capacity: int = 2048
     separator: int = 0
-    cache_chunks: int = 400_000      # distinct chunks whose ids a worker keeps; it starts anew beyond that
+    cache_chunks: int = 700_000      # distinct chunks of a generation whose ids a worker keeps; it keeps two
     rank_buckets: int = 4096
 
 
 _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
+# the tokenizer's words in lower-case Latin-1 text, which its normalizer leaves alone; another tokenizer file needs its own
+_L, _N = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\x09-\\x0D\\x20\\x85\\xa0{_L}{_N}]+")
 _LOADED: dict = {}
 
 
 class ChunkEncoder:
-    """Ids of a text, chunk by chunk: the tokenizer never looks across white space, and a chunk is encoded once."""
+    """Ids of a text, chunk by chunk: the tokenizer never looks across white space.
+
+    A chunk not met before is put together from its words where it is Latin-1
+    and the tokenizer is the default one; only words not met before are encoded.
+    """
 
     def __init__(self, cfg: PackConfig):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks share the cores already
@@ -60,7 +68,12 @@ class ChunkEncoder:
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(str(path))
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.most, self.known = cfg.cache_chunks, {}
+        self.most, self.known, self.older, self.words = cfg.cache_chunks, {}, {}, {}
+        self.by_word = cfg.tokenizer is None
+
+    def _encoded(self, strings: list[str]) -> list[bytes]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)] if strings else []
+        return [struct.pack(f"<{len(x)}I", *x) for x in lists]
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -68,13 +81,26 @@ class ChunkEncoder:
         try:
             return b"".join(map(self.known.__getitem__, chunks))
         except KeyError:
-            new = list({c for c in chunks if c not in self.known})
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            new = list(set(chunks))
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, chunks))
+            pass
+        known, older, words = self.known, self.older, self.words
+        if len(words) > self.most:
+            words.clear()
+        whole, made = [], []
+        for c in {c for c in chunks if c not in known}:
+            if c in older:
+                known[c] = older[c]
+            elif self.by_word and (c.isascii() or max(c) <= "\xff"):
+                made.append((c, _WORD.findall(c.lower())))
+            else:
+                whole.append(c)
+        new = list({w for _, own in made for w in own if w not in words})
+        words.update(zip(new, self._encoded(new)))
+        known.update((c, b"".join([words[w] for w in own])) for c, own in made)
+        known.update(zip(whole, self._encoded(whole)))
+        out = b"".join(map(known.__getitem__, chunks))
+        if len(known) > self.most:      # what is still in use comes back from the older generation
+            self.known, self.older = {}, known
+        return out
 
 
 def pieces(docs: DataFrame, cfg: PackConfig = PackConfig()) -> DataFrame:
