@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathweave.llm import dedup, neardup, packing, pii, toxicity
+from pathweave.llm.common import ship_code
 from pathweave.session import ensure_checkpoint_dir, table
 
 TOXIC_FROM = 0.5
@@ -63,6 +64,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pw-corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES:

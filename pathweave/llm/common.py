@@ -1,8 +1,13 @@
-"""Keeping the rows that a decision table marks."""
+"""Keeping the rows that a decision table marks; code for Python workers that cannot import this package."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathweave.session import cut_lineage
@@ -24,3 +29,14 @@ def keep_marked(rows: DataFrame, marked: DataFrame, key: str) -> DataFrame:
         return rows.join(other, F.col("doc_id").eqNullSafe(F.col("__pw_id")) & (F.col(key) == F.col("__pw_other")), how)
 
     return met(out, "left_anti").unionByName(met(repeated, "left_semi").dropDuplicates(["doc_id", key]))
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send the library to the Python workers, unless the working folder or PYTHONPATH has it for them."""
+    root = Path(__file__).resolve().parents[2]
+    known = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if root in [Path(p).resolve() for p in known] or getattr(spark, "_pw_shipped", False):
+        return
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "pathweave_code"), "zip", root, root.joinpath(__package__.split(".")[0]).name)
+    spark.sparkContext.addPyFile(made)
+    spark._pw_shipped = True
