@@ -41,7 +41,8 @@ class PackConfig:
     tokenizer: str | None = None     # file of the tokenizers library; None: word_bpe_49k.json of public_tokenizers
     capacity: int = 2048
     separator: int = 0
-    cache_chunks: int = 700_000      # distinct chunks of a generation whose ids a worker keeps; it keeps two
+    cache_chunks: int = 200_000      # distinct chunks of a generation whose ids a worker keeps; it keeps two
+    cache_words: int = 600_000       # distinct words whose ids a worker keeps
     rank_buckets: int = 4096
 
 
@@ -68,7 +69,8 @@ class ChunkEncoder:
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(str(path))
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.most, self.known, self.older, self.words = cfg.cache_chunks, {}, {}, {}
+        self.most, self.most_words = cfg.cache_chunks, cfg.cache_words
+        self.known, self.older, self.words = {}, {}, {}
         self.by_word = cfg.tokenizer is None
 
     def _encoded(self, strings: list[str]) -> list[bytes]:
@@ -83,7 +85,7 @@ class ChunkEncoder:
         except KeyError:
             pass
         known, older, words = self.known, self.older, self.words
-        if len(words) > self.most:
+        if len(words) > self.most_words:
             words.clear()
         whole, made = [], []
         for c in {c for c in chunks if c not in known}:
