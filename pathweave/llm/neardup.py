@@ -58,7 +58,7 @@ class NearConfig:
     orders: int = 4                  # different random orders over the bands in the first round; then one a band
     rounds: int = 3                  # of candidates; tests/llm holds the links found against all pairs
     chunk_chars: int = 2_000_000     # text hashed at once
-    block_shingles: int = 3_000_000  # shingles counted before a task sends them
+    block_shingles: int = 1_000_000  # shingles counted before a task sends them
     ranges: int = 8                  # hash ranges per shuffle partition; one range is merged in memory
 
 
