@@ -184,10 +184,9 @@ def leaf_pairs(nodes: DataFrame | None, cfg: MineConfig, terms: DataFrame | None
     top = ranked_terminals(terms, cfg, m + 2).withColumn("tok", _leaf_tokens(cfg))
     leaves = (top.groupBy("tree_id")
               .agg(F.array_sort(F.collect_list(F.struct("rank", *PAIR_FIELDS))).alias("leaves")))
-    counts = terminal_counts(terms)
-    per_tree = leaves.join(counts, "tree_id")
-    p = F.explode(_pairs_in_row(F.col("n_terminals"), m)).alias("p")
-    exploded = per_tree.select("tree_id", "leaves", p)
+    # the first m + 1 pairs need the first m + 2 leaves only, so the array's size stands for the number of leaves
+    p = F.explode(_pairs_in_row(F.size("leaves").cast("bigint"), m)).alias("p")
+    exploded = leaves.select("tree_id", "leaves", p)
     a = F.element_at("leaves", (F.col("p.i") + 1).cast("int"))
     b = F.element_at("leaves", (F.col("p.j") + 1).cast("int"))
     return exploded.select("tree_id", F.col("p.idx").alias("pair_idx"),

@@ -100,13 +100,13 @@ PATH_INFO_SQL = """path_info AS (
   SELECT DISTINCT props AS context, 'k' AS token1,
          'KEY|' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS VARCHAR) AS path,
          'KEY' AS short_path, CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS VARCHAR) AS token2
-  FROM events WHERE event_type = 'view'
+  FROM events
 )"""
 
 
 def path_info(spark, sf):
-    """Path information of contexts: the distinct props seen in 'view' events."""
-    e = table(spark, sf, "events").where(F.col("event_type") == "view")
+    """Path information of contexts: the distinct props of all events."""
+    e = table(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("bigint").cast("string")
     return e.select(F.col("props").alias("context"), F.lit("k").alias("token1"),
                     F.concat(F.lit("KEY|"), k).alias("path"), F.lit("KEY").alias("short_path"),

@@ -16,7 +16,7 @@ from .sql_dt import dt_ctx_sql
 from .registry import register
 from .sql_ot import OT_NODES_SQL, ot_pairs_sql, ot_ranked_sql, tok_sql
 
-FIXED20 = MineConfig(max_contexts=20, leaf_order="fixed")
+FIXED = MineConfig(leaf_order="fixed")
 RANDOM = MineConfig(leaf_order="random")
 
 
@@ -86,10 +86,10 @@ def q_lca_paths(spark, sf):
 
 
 # ---------------------------------------------------------------------- E4
-@register("path_contexts", f"""WITH {ot_pairs_sql('fixed', 20)}
+@register("path_contexts", f"""WITH {ot_pairs_sql('fixed', 100)}
 SELECT {CTX_COLS} FROM ot_ctx""")
 def q_path_contexts(spark, sf):
-    return flat_contexts(T.mine_contexts(None, FIXED20, order_tree_terminals(spark, sf)))
+    return flat_contexts(T.mine_contexts(None, FIXED, order_tree_terminals(spark, sf)))
 
 
 # ---------------------------------------------------------------------- E5
@@ -104,17 +104,17 @@ def q_context_cap(spark, sf):
 
 
 # ---------------------------------------------------------------------- B8
-@register("depth_limit", f"""WITH {ot_pairs_sql('fixed', 20, leaf_filter="depth <= 2 AND (degree = 1 OR depth = 2)")}
+@register("depth_limit", f"""WITH {ot_pairs_sql('fixed', 100, leaf_filter="depth <= 2 AND (degree = 1 OR depth = 2)")}
 SELECT {CTX_COLS} FROM ot_ctx""")
 def q_depth_limit(spark, sf):
-    return flat_contexts(T.mine_contexts(order_tree_nodes(spark, sf), FIXED20.with_(max_ast_depth=1)))
+    return flat_contexts(T.mine_contexts(order_tree_nodes(spark, sf), FIXED.with_(max_ast_depth=1)))
 
 
 # ---------------------------------------------------------------------- B9
-@register("path_length_filter", f"""WITH {ot_pairs_sql('fixed', 20, path_limit=5)}
+@register("path_length_filter", f"""WITH {ot_pairs_sql('fixed', 100, path_limit=5)}
 SELECT {CTX_COLS} FROM ot_ctx""")
 def q_path_length_filter(spark, sf):
-    return flat_contexts(T.mine_contexts(None, FIXED20.with_(max_path_len=5), order_tree_terminals(spark, sf)))
+    return flat_contexts(T.mine_contexts(None, FIXED.with_(max_path_len=5), order_tree_terminals(spark, sf)))
 
 
 # ---------------------------------------------------------------------- E6 / J3
