@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
+from collections.abc import Callable, Hashable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +42,25 @@ def ship_code(spark: SparkSession) -> None:
     made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "pathweave_code"), "zip", root, root.joinpath(__package__.split(".")[0]).name)
     spark.sparkContext.addPyFile(made)
     spark._pw_shipped = True
+
+
+_KEPT: dict = {}
+
+
+def keep_in_worker(key: Hashable, make: Callable[[], object]) -> object:
+    """``make()``, kept for the next tasks of a reused Python worker until a task asks for something else.
+
+    Spark sends a task's function with a copy of the module variables that it
+    names, so such a variable starts anew in each task; this function is sent
+    by name and finds what the worker has.
+    """
+    if key not in _KEPT:
+        release_worker()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release_worker() -> None:
+    """Let go of what tasks of other operators left in this Python worker."""
+    _KEPT.clear()
+    gc.collect()

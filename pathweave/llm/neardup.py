@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from pathweave.session import cut_lineage
 
-from .common import keep_marked
+from .common import keep_marked, release_worker
 
 
 @dataclass(frozen=True)
@@ -179,6 +179,7 @@ def document_frequencies(docs: DataFrame, cfg: NearConfig) -> DataFrame:
 
     def count(batches):
         import zstandard
+        release_worker()
         pack = zstandard.ZstdCompressor(level=1)
         held, size = [], 0
 

@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 
 from pathweave.session import cut_lineage
 
+from .common import keep_in_worker
+
 
 @dataclass(frozen=True)
 class PackConfig:
     tokenizer: str | None = None     # file of the tokenizers library; None: word_bpe_49k.json of public_tokenizers
     capacity: int = 2048
     separator: int = 0
-    cache_chunks: int = 700_000      # distinct chunks of a generation whose ids a worker keeps; it keeps two
+    cache_chunks: int = 300_000      # distinct chunks of a generation whose ids a worker keeps; it keeps two
     rank_buckets: int = 4096
 
 
@@ -49,7 +51,6 @@ _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 # the tokenizer's words in lower-case Latin-1 text, which its normalizer leaves alone; another tokenizer file needs its own
 _L, _N = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\x09-\\x0D\\x20\\x85\\xa0{_L}{_N}]+")
-_LOADED: dict = {}
 
 
 class ChunkEncoder:
@@ -106,9 +107,8 @@ class ChunkEncoder:
 def pieces(docs: DataFrame, cfg: PackConfig = PackConfig()) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each piece of each document."""
     def run(batches):
-        if cfg not in _LOADED:
-            _LOADED[cfg] = ChunkEncoder(cfg)
-        encoder, end, width = _LOADED[cfg], np.array([cfg.separator], "<u4").tobytes(), 4 * cfg.capacity
+        encoder = keep_in_worker(("packing", cfg), lambda: ChunkEncoder(cfg))
+        end, width = np.array([cfg.separator], "<u4").tobytes(), 4 * cfg.capacity
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(b.column("text").to_pylist()):

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_worker
+
 # Letters of other scripts that look like Latin ones, and digits and signs used in their place.
 HOMOGLYPHS = dict(zip("абвгеёзікмнопрстухһјѕԁԛԝαβγεηικνορτυχωı", "abbreezikmhonpctyxhjsdqwabyenikvoptuxwi"))
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
@@ -236,6 +238,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     there = [c for c in docs.columns if c != name]
 
     def run(batches):
+        release_worker()
         m = Matcher(model)
         for b in batches:
             s = pa.array([m.score(t or "") for t in b.column("text").to_pylist()], pa.float64())
