@@ -20,9 +20,15 @@ from .session import cut_lineage
 
 
 def mine_job(spark: SparkSession, cursors_path: str, out: str, cfg: MineConfig = MineConfig(),
-             raw_text: bool = False) -> None:
-    """cursors parquet -> ``out/samples`` (+ ``out/rejects``; raw text lines when asked)."""
+             raw_text: bool = False, sources_path: str | None = None) -> None:
+    """cursors parquet -> ``out/samples`` (+ ``out/rejects``; raw text lines when asked).
+
+    ``sources_path``: parquet of loc_file, text; operators that a macro hides
+    take their label from it.
+    """
     cursors = spark.read.schema(CURSORS).parquet(cursors_path)
+    if sources_path:
+        cursors = C.attach_span_text(cursors.drop("span_text"), spark.read.parquet(sources_path).select("loc_file", "text"))
     samples, rejects, _ = C.mine_cursors(cursors, cfg)
     samples = cut_lineage(samples.select("file", "line", "target", "contexts",
                                          F.col("tree_id").alias("unit_cursor")))

@@ -40,12 +40,12 @@ def parse_predictions(topk_paths: DataFrame, words: DataFrame, methods: DataFram
     """Per method and step: the predicted word and its attention paths.
 
     ``words``: method, word, step (legal words only, in suggestion order);
-    ``methods``: method, method_id, original_name.
+    ``methods``: method, method_id, original_name.  A method without a legal
+    word keeps one row whose step and word are null.
     """
     per_word = (topk_paths.groupBy("method", "word")
                 .agg(F.array_sort(F.collect_list(F.struct("rank", "score", "path", "token1", "token2"))).alias("paths")))
-    return (words.join(per_word, ["method", "word"], "left")
-            .join(methods, "method")
+    return (methods.join(words.join(per_word, ["method", "word"], "left"), "method", "left")
             .select("method_id", "original_name", "step", "word",
                     F.coalesce("paths", F.array().cast("array<struct<rank:int,score:double,path:string,"
                                                        "token1:string,token2:string>>")).alias("paths")))
@@ -80,21 +80,21 @@ def corpus_bleu(pairs: DataFrame, max_n: int = 4) -> DataFrame:
     r = _ngram_counts(pairs, "ref", max_n).withColumnRenamed("c", "rc")
     clipped = (h.join(r, ["pair_id", "n", "gram"], "left")
                .select("n", "c", F.least("c", F.coalesce("rc", F.lit(0))).alias("m")))
-    per_n = clipped.groupBy().agg(*[F.sum(F.when(F.col("n") == i, F.col("m")).otherwise(0)).alias(f"m{i}")
+    lens = pairs.agg(F.sum(F.size("hyp")).alias("hyp_len"), F.sum(F.size("ref")).alias("ref_len"))
+    per_n = clipped.unionByName(lens, allowMissingColumns=True).groupBy().agg(
+                                  *[F.coalesce(F.sum(x), F.lit(0)).cast("bigint").alias(x) for x in ("hyp_len", "ref_len")],
+                                  *[F.sum(F.when(F.col("n") == i, F.col("m")).otherwise(0)).alias(f"m{i}")
                                    for i in range(1, max_n + 1)],
                                   *[F.sum(F.when(F.col("n") == i, F.col("c")).otherwise(0)).alias(f"t{i}")
                                     for i in range(1, max_n + 1)])
-    lens = pairs.agg(F.sum(F.size("hyp")).alias("hyp_len"), F.sum(F.size("ref")).alias("ref_len"))
-    hyp_len, ref_len = [int(x or 0) for x in lens.first()]
-    bp = 1.0 if hyp_len >= ref_len or hyp_len == 0 else None
-    out = per_n
     prec = [F.when(F.col(f"t{i}") > 0, F.col(f"m{i}") / F.col(f"t{i}")).otherwise(F.lit(0.0)) for i in range(1, max_n + 1)]
     logsum = sum((F.log(p) for p in prec[1:]), F.log(prec[0]))
-    bp_col = F.lit(bp) if bp is not None else F.exp(F.lit(1.0) - F.lit(ref_len) / F.lit(hyp_len))
+    hyp_len, ref_len = F.col("hyp_len"), F.col("ref_len")
+    bp_col = F.when((hyp_len >= ref_len) | (hyp_len == 0), 1.0).otherwise(F.exp(1.0 - ref_len / hyp_len))
     any_zero = F.lit(False)
     for p in prec:
         any_zero = any_zero | (p <= 0)
     bleu = F.when(any_zero, F.lit(0.0)).otherwise(bp_col * F.exp(logsum / max_n) * 100)
-    return out.select(bleu.alias("bleu"), bp_col.cast("double").alias("bp"),
+    return per_n.select(bleu.alias("bleu"), bp_col.cast("double").alias("bp"),
                       *[(p * 100).alias(f"p{i + 1}") for i, p in enumerate(prec)],
-                      F.lit(hyp_len).cast("bigint").alias("hyp_len"), F.lit(ref_len).cast("bigint").alias("ref_len"))
+                      "hyp_len", "ref_len")

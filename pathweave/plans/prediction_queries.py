@@ -58,7 +58,7 @@ words AS (
 tp AS (SELECT t.*, p.path, p.token1, p.token2 FROM topk t JOIN path_info p ON p.context = t.context)
 SELECT m.method_id, m.original_name, w.step, w.word, count(tp.rank) AS n_paths,
        coalesce(string_agg(tp.path || ',' || tp.token1 || ',' || tp.token2, ' ' ORDER BY tp.rank), '') AS paths
-FROM words w JOIN methods m ON m.method = w.method
+FROM methods m LEFT JOIN words w ON w.method = m.method
 LEFT JOIN tp ON tp.method = w.method AND tp.word = w.word
 GROUP BY m.method_id, m.original_name, w.step, w.word"""
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,22 +18,24 @@ def source_files(spark: SparkSession, input_path: str, with_content: bool = Fals
     trees); the content column is dropped unless asked for.
     """
     r = spark.read.format("binaryFile")
-    if not _is_file(input_path):
+    if not _is_file(spark, input_path):
         r = r.option("pathGlobFilter", SOURCE_GLOB).option("recursiveFileLookup", "true")
     df = r.load(input_path)
     cols = ["path", "length"] + (["content"] if with_content else [])
     return df.select(*cols)
 
 
-def _is_file(path: str) -> bool:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    return os.path.isfile(p)
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """Asks the file system that Spark reads the path from."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
 def compile_commands(spark: SparkSession, input_dir: str) -> DataFrame | None:
     """``compile_commands.json`` of the input folder, or None when absent."""
-    path = os.path.join(input_dir, "compile_commands.json")
-    if not os.path.exists(path):
+    path = f"{input_dir.rstrip('/')}/compile_commands.json"
+    if not _is_file(spark, path):
         return None
     df = spark.read.option("multiLine", True).schema(COMPILE_COMMANDS).json(path)
     # ``arguments`` may be missing when only ``command`` is given: split it on spaces

@@ -14,16 +14,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import parse_raw_line
+from ..functions.text import RAW_FILES, parse_raw_line
 from ..operators.vocab import token_rows
 from ..sources.c2s import parse_dataset_lines
 
 
 def raw_sample_stream(spark: SparkSession, path: str, files_per_trigger: int = 1,
                       clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
-    """Streaming rows (file, line, sample, source) from ``*.c2s`` raw files under ``path``."""
+    """Streaming rows (file, line, sample, source) from the raw files under ``path``."""
     r = (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger)
-         .option("pathGlobFilter", "*.c2s").option("recursiveFileLookup", "true"))
+         .option("pathGlobFilter", RAW_FILES).option("recursiveFileLookup", "true"))
     if clean_source:
         r = r.option("cleanSource", clean_source)
         if archive_dir:

@@ -156,3 +156,13 @@ def test_length_limited_pairs_equal_bruteforce(spark):
             if len(want) > m:
                 break
         assert got == want
+
+
+def test_predictions_keep_methods_without_legal_words(spark):
+    from pathweave.operators import predictions as P
+    top = spark.createDataFrame([("m", "draw", 1, 0.5, "P", "a", "b")],
+                                "method string, word string, rank int, score double, path string, token1 string, token2 string")
+    words = spark.createDataFrame([("m", "draw", 0)], "method string, word string, step bigint")
+    methods = spark.createDataFrame([("m", 0, "M"), ("n", 1, "N")], "method string, method_id bigint, original_name string")
+    got = {r["method_id"]: (r["step"], r["word"], len(r["paths"])) for r in P.parse_predictions(top, words, methods).collect()}
+    assert got == {0: (0, "draw", 1), 1: (None, None, 0)}

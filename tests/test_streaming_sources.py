@@ -41,10 +41,6 @@ def test_raw_sink_round_trip_and_streaming_dedup(spark, sf):
     # two miners write overlapping raw files (the second repeats the urgent orders)
     sinks.write_raw_samples(samples, out + "/w1", per_file=500)
     sinks.write_raw_samples(samples.where(F.col("target")[0] == "1"), out + "/w2", per_file=500)
-    for root, _, fs in os.walk(out):
-        for f in fs:
-            if f.endswith(".txt"):
-                os.rename(os.path.join(root, f), os.path.join(root, f[:-4] + ".c2s"))
     raw = c2s.read_raw_samples(spark, out)
     n = samples.count()
     assert raw.count() == n + samples.where(F.col("target")[0] == "1").count()
