@@ -23,14 +23,19 @@ def clean_compile_args(commands: DataFrame, known_paths: DataFrame, key: str = "
     """Drop the compiler, ``-Xclang`` and the argument after it, ``-c``, ``-o``,
     existing files or folders and object files; other arguments keep their order.
 
-    ``known_paths``: one column ``path`` (what exists on the file system).
+    ``known_paths``: one column ``path`` (what exists on the file system).  With
+    a column ``directory``, a relative argument is looked up under it.
     """
-    exploded = commands.select(key, F.posexplode(F.slice(args_col, 2, F.greatest(F.size(args_col) - 1, F.lit(0))))
+    where = F.col("directory") if "directory" in commands.columns else F.lit(None).cast("string")
+    exploded = commands.select(key, where.alias("directory"), F.posexplode(F.slice(args_col, 2, F.greatest(F.size(args_col) - 1, F.lit(0))))
                                .alias("pos", "arg"))
+    relative = F.col("directory").isNotNull() & ~F.col("arg").startswith("/")
+    under = F.concat(F.regexp_replace("directory", "/+$", ""), F.lit("/"), F.regexp_replace("arg", r"^(\./+)+", ""))
+    exploded = exploded.select(key, "pos", "arg", F.when(relative, under).otherwise(F.col("arg")).alias("at"))
     flags = exploded.where(F.col("arg").isin(XCLANG, COMPILE_ONLY, OUTPUT))
     others = exploded.where(~F.col("arg").isin(XCLANG, COMPILE_ONLY, OUTPUT))
-    paths = known_paths.select(F.col("path").alias("arg"), F.lit(True).alias("exists")).distinct()
-    looked = others.join(paths, "arg", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+    paths = known_paths.select(F.col("path").alias("at"), F.lit(True).alias("exists")).distinct()
+    looked = others.join(paths, "at", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
     allargs = looked.unionByName(flags.withColumn("exists", F.lit(False)))
     grouped = allargs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "arg", "exists"))).alias("a"))
 

@@ -166,3 +166,12 @@ def test_predictions_keep_methods_without_legal_words(spark):
     methods = spark.createDataFrame([("m", 0, "M"), ("n", 1, "N")], "method string, method_id bigint, original_name string")
     got = {r["method_id"]: (r["step"], r["word"], len(r["paths"])) for r in P.parse_predictions(top, words, methods).collect()}
     assert got == {0: (0, "draw", 1), 1: (None, None, 0)}
+
+
+def test_compile_arguments_are_looked_up_under_their_directory(spark):
+    from pathweave.operators import commands as K
+    cmds = spark.createDataFrame([(1, "/a/", ["cc", "x.cc", "./y.cc", "/a/x.cc", "-O2"]), (2, "/b", ["cc", "x.cc"]),
+                                  (3, None, ["cc", "x.cc"])], "cmd_id int, directory string, arguments array<string>")
+    known = spark.createDataFrame([("/a/x.cc",), ("/a/y.cc",)], "path string")
+    got = {r["cmd_id"]: r["args"] for r in K.clean_compile_args(cmds, known).collect()}
+    assert got == {1: ["-O2"], 2: ["x.cc"], 3: ["x.cc"]}
