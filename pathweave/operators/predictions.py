@@ -1,11 +1,15 @@
 """Post-processing of model predictions (K1, K2, G6, D7) and corpus BLEU (F8).
 
-Predictions table (one row per attention weight)::
+Attention table (one row per attention weight)::
 
-    method, word, context, score
+    method, step, word, context, score
 
-Scale notes: the attention map is a partial aggregate per (method, word,
-context); top-k per (method, word) is ``row_number() <= k`` (partial
+``step`` is the place of the word among a method's suggestions, so a word that
+is suggested twice has two maps.  ``attention_steps`` makes the table from
+nested results.
+
+Scale notes: the attention map is a partial aggregate per (method, step,
+context); top-k per (method, step) is ``row_number() <= k`` (partial
 ``WindowGroupLimit``); path information is an equi-join.  BLEU counts n-grams
 per (pair, n, gram) with partial aggregates and clips them with an equi-join,
 so nothing is collected per corpus.
@@ -19,15 +23,36 @@ from pyspark.sql import functions as F
 from ..functions.tokens import is_legal_name
 
 
+def suggested_words(results: DataFrame) -> DataFrame:
+    """(method, step, word) of the legal words of nested results, as far as they have an attention map.
+
+    ``results``: method, words array<string>, attention array<map<string,double>>
+    (one map per word; the shorter of the two arrays counts).
+    """
+    return _steps(results).where(is_legal_name("word")).select("method", "step", "word")
+
+
+def attention_steps(results: DataFrame) -> DataFrame:
+    """The attention table of nested results (see ``suggested_words``)."""
+    return _steps(results).select("method", "step", "word", F.explode("weights").alias("context", "score"))
+
+
+def _steps(results: DataFrame) -> DataFrame:
+    both = F.slice(F.arrays_zip(F.col("words").alias("word"), F.col("attention").alias("weights")), 1,
+                   F.least(F.size("words"), F.size("attention")))
+    return results.select("method", F.posexplode(both).alias("step", "s")).select(
+        "method", F.col("step").cast("bigint").alias("step"), "s.word", "s.weights")
+
+
 def attention_map(att: DataFrame) -> DataFrame:
-    """One weight per (method, word, context): a map keeps one value per key (the largest here)."""
-    return att.groupBy("method", "word", "context").agg(F.max("score").alias("score"))
+    """One weight per (method, step, context): a map keeps one value per key (the largest here)."""
+    return att.groupBy("method", "step", "word", "context").agg(F.max("score").alias("score"))
 
 
 def attention_topk(att: DataFrame, k: int) -> DataFrame:
-    """Top ``k`` contexts by weight per predicted word (ties by context); illegal words dropped."""
-    legal = attention_map(att).where(is_legal_name("word"))
-    w = Window.partitionBy("method", "word").orderBy(F.col("score").desc(), F.col("context"))
+    """Top ``k`` contexts by weight per predicted step (ties by context); illegal words dropped."""
+    legal = attention_map(att.where(is_legal_name("word")))
+    w = Window.partitionBy("method", "step").orderBy(F.col("score").desc(), F.col("context"))
     return legal.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -39,13 +64,13 @@ def attention_paths(topk: DataFrame, path_info: DataFrame) -> DataFrame:
 def parse_predictions(topk_paths: DataFrame, words: DataFrame, methods: DataFrame) -> DataFrame:
     """Per method and step: the predicted word and its attention paths.
 
-    ``words``: method, word, step (legal words only, in suggestion order);
+    ``words``: method, step, word (legal words only, in suggestion order);
     ``methods``: method, method_id, original_name.  A method without a legal
     word keeps one row whose step and word are null.
     """
-    per_word = (topk_paths.groupBy("method", "word")
+    per_step = (topk_paths.groupBy("method", "step")
                 .agg(F.array_sort(F.collect_list(F.struct("rank", "score", "path", "token1", "token2"))).alias("paths")))
-    return (methods.join(words.join(per_word, ["method", "word"], "left"), "method", "left")
+    return (methods.join(words.join(per_step, ["method", "step"], "left"), "method", "left")
             .select("method_id", "original_name", "step", "word",
                     F.coalesce("paths", F.array().cast("array<struct<rank:int,score:double,path:string,"
                                                        "token1:string,token2:string>>")).alias("paths")))

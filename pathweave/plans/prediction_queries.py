@@ -14,66 +14,86 @@ from .text_queries import EVENT_WORD_SQL, PATH_INFO_SQL, event_words, path_info
 TOPK = 5
 
 
+def suggestions(spark, sf):
+    """Steps of a method: user and event type (error plays UNK), once for its odd and once for its even events.
+
+    So a word is suggested twice by most users; steps are numbered by first event, word, half.
+    """
+    from pyspark.sql import Window
+    e = halved(spark, sf)
+    firsts = e.groupBy("method", "word", "half").agg(F.min("ts").alias("first_ts"))
+    place = F.row_number().over(Window.partitionBy("method").orderBy("first_ts", "word", "half")) - 1
+    return firsts.select("method", "word", "half", place.cast("bigint").alias("step"))
+
+
+def halved(spark, sf):
+    return event_words(spark, sf).select(F.col("user_id").alias("method"), "word", (F.col("event_id") % 2).alias("half"),
+                                         "ts", F.col("props").alias("context"), F.col("value").alias("score"))
+
+
 def attention(spark, sf):
-    """method = user, predicted word = event type (error plays UNK), context = props, weight = value."""
-    e = event_words(spark, sf)
-    return e.select(F.col("user_id").alias("method"), "word", F.col("props").alias("context"),
-                    F.col("value").alias("score"))
+    """One row per event: its step, its word, context = props, weight = value."""
+    return halved(spark, sf).join(suggestions(spark, sf), ["method", "word", "half"])
 
 
-TOPK_SQL = f"""att AS (
-  SELECT user_id AS method, {EVENT_WORD_SQL} AS word, props AS context, max(value) AS score
-  FROM events GROUP BY 1, 2, 3
+def known_paths(spark, sf):
+    """Path information of the contexts with an even k; the others play contexts without any."""
+    return path_info(spark, sf).where(F.col("token2").cast("bigint") % 2 == 0)
+
+
+TOPK_SQL = f"""ev AS (
+  SELECT user_id AS method, {EVENT_WORD_SQL} AS word, event_id % 2 AS half, ts, props AS context, value FROM events
+),
+steps AS (
+  SELECT method, word, half, row_number() OVER (PARTITION BY method ORDER BY first_ts, word, half) - 1 AS step
+  FROM (SELECT method, word, half, min(ts) AS first_ts FROM ev GROUP BY 1, 2, 3)
+),
+att AS (
+  SELECT s.method, s.step, s.word, e.context, max(e.value) AS score
+  FROM steps s JOIN ev e ON e.method = s.method AND e.word = s.word AND e.half = s.half
+  GROUP BY 1, 2, 3, 4
 ),
 topk AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY method, word ORDER BY score DESC, context) AS rank
+    SELECT *, row_number() OVER (PARTITION BY method, step ORDER BY score DESC, context) AS rank
     FROM att WHERE word NOT IN ('<UNK>', '<PAD>', '</S>')) WHERE rank <= {TOPK}
 )"""
+KNOWN_SQL = f"""{PATH_INFO_SQL},
+known AS (SELECT * FROM path_info WHERE CAST(token2 AS BIGINT) % 2 = 0)"""
 
 
-@register("attention_topk", f"WITH {TOPK_SQL} SELECT method, word, rank, context, score FROM topk")
+@register("attention_topk", f"WITH {TOPK_SQL} SELECT method, step, word, rank, context, score FROM topk")
 def q_attention_topk(spark, sf):
     return P.attention_topk(attention(spark, sf), TOPK).select(
-        "method", "word", F.col("rank").cast("bigint").alias("rank"), "context", "score")
+        "method", "step", "word", F.col("rank").cast("bigint").alias("rank"), "context", "score")
 
 
-@register("attention_paths", f"""WITH {TOPK_SQL}, {PATH_INFO_SQL}
-SELECT t.method, t.word, t.rank, t.score, p.path, p.token1, p.token2
-FROM topk t JOIN path_info p ON p.context = t.context""")
+@register("attention_paths", f"""WITH {TOPK_SQL}, {KNOWN_SQL}
+SELECT t.method, t.step, t.word, t.rank, t.score, p.path, p.token1, p.token2
+FROM topk t JOIN known p ON p.context = t.context""")
 def q_attention_paths(spark, sf):
     top = P.attention_topk(attention(spark, sf), TOPK)
-    return P.attention_paths(top, path_info(spark, sf)).select(
-        "method", "word", F.col("rank").cast("bigint").alias("rank"), "score", "path", "token1", "token2")
+    return P.attention_paths(top, known_paths(spark, sf)).select(
+        "method", "step", "word", F.col("rank").cast("bigint").alias("rank"), "score", "path", "token1", "token2")
 
 
-PARSE_SQL = f"""WITH {TOPK_SQL}, {PATH_INFO_SQL},
+PARSE_SQL = f"""WITH {TOPK_SQL}, {KNOWN_SQL},
 methods AS (SELECT user_id AS method, row_number() OVER (ORDER BY user_id) - 1 AS method_id,
                    'user' || user_id AS original_name FROM (SELECT DISTINCT user_id FROM events)),
-words AS (
-  SELECT method, word, row_number() OVER (PARTITION BY method ORDER BY first_ts, word) - 1 AS step
-  FROM (SELECT user_id AS method, {EVENT_WORD_SQL} AS word, min(ts) AS first_ts FROM events GROUP BY 1, 2)
-  WHERE word NOT IN ('<UNK>', '<PAD>', '</S>')
-),
-tp AS (SELECT t.*, p.path, p.token1, p.token2 FROM topk t JOIN path_info p ON p.context = t.context)
+words AS (SELECT method, word, step FROM steps WHERE word NOT IN ('<UNK>', '<PAD>', '</S>')),
+tp AS (SELECT t.*, p.path, p.token1, p.token2 FROM topk t JOIN known p ON p.context = t.context)
 SELECT m.method_id, m.original_name, w.step, w.word, count(tp.rank) AS n_paths,
        coalesce(string_agg(tp.path || ',' || tp.token1 || ',' || tp.token2, ' ' ORDER BY tp.rank), '') AS paths
 FROM methods m LEFT JOIN words w ON w.method = m.method
-LEFT JOIN tp ON tp.method = w.method AND tp.word = w.word
+LEFT JOIN tp ON tp.method = w.method AND tp.step = w.step
 GROUP BY m.method_id, m.original_name, w.step, w.word"""
 
 
 @register("parse_predictions", PARSE_SQL)
 def q_parse_predictions(spark, sf):
-    att = attention(spark, sf)
-    top = P.attention_paths(P.attention_topk(att, TOPK), path_info(spark, sf))
-    e = event_words(spark, sf)
-    firsts = (e.groupBy(F.col("user_id").alias("method"), "word").agg(F.min("ts").alias("first_ts"))
-              .where(W.is_legal_name("word")))
-    from pyspark.sql import Window
-    words = firsts.withColumn("step", (F.row_number().over(
-        Window.partitionBy("method").orderBy("first_ts", "word")) - 1).cast("bigint"))
-    users = e.select(F.col("user_id").alias("method")).distinct()
+    top = P.attention_paths(P.attention_topk(attention(spark, sf), TOPK), known_paths(spark, sf))
+    words = suggestions(spark, sf).where(W.is_legal_name("word")).select("method", "step", "word")
+    users = event_words(spark, sf).select(F.col("user_id").alias("method")).distinct()
     methods = global_rank(users, [F.col("method")], "method_id").withColumn(
         "original_name", F.concat(F.lit("user"), F.col("method").cast("string")))
     out = P.parse_predictions(top, words, methods)

@@ -158,14 +158,22 @@ def test_length_limited_pairs_equal_bruteforce(spark):
         assert got == want
 
 
-def test_predictions_keep_methods_without_legal_words(spark):
+def test_predictions_have_an_attention_map_per_step(spark):
     from pathweave.operators import predictions as P
-    top = spark.createDataFrame([("m", "draw", 1, 0.5, "P", "a", "b")],
-                                "method string, word string, rank int, score double, path string, token1 string, token2 string")
-    words = spark.createDataFrame([("m", "draw", 0)], "method string, word string, step bigint")
-    methods = spark.createDataFrame([("m", 0, "M"), ("n", 1, "N")], "method string, method_id bigint, original_name string")
-    got = {r["method_id"]: (r["step"], r["word"], len(r["paths"])) for r in P.parse_predictions(top, words, methods).collect()}
-    assert got == {0: (0, "draw", 1), 1: (None, None, 0)}
+    results = spark.createDataFrame(
+        [("m", ["draw", "<UNK>", "draw", "line"], [{"c": 0.5, "d": 0.9}, {"c": 0.1}, {"e": 0.7, "c": 0.6}]),
+         ("n", ["<PAD>"], [{"c": 0.2}]), ("o", [], []), ("p", ["shape"], [{}]), ("q", None, None)],
+        "method string, words array<string>, attention array<map<string,double>>")
+    info = spark.createDataFrame([("c", "P", "a", "b"), ("e", "Q", "x", "y")],
+                                 "context string, path string, token1 string, token2 string")
+    methods = spark.createDataFrame([(m, i, m.upper()) for i, m in enumerate("mnopq")],
+                                    "method string, method_id bigint, original_name string")
+    top = P.attention_topk(P.attention_steps(results), 2)
+    out = P.parse_predictions(P.attention_paths(top, info), P.suggested_words(results), methods)
+    got = sorted(((r["method_id"], r["step"], r["word"], [(p["rank"], p["path"]) for p in r["paths"]]) for r in out.collect()),
+                 key=lambda r: (r[0], r[1] or 0))
+    assert got == [(0, 0, "draw", [(2, "P")]), (0, 2, "draw", [(1, "Q"), (2, "P")]), (1, None, None, []),
+                   (2, None, None, []), (3, 0, "shape", []), (4, None, None, [])]
 
 
 def test_compile_arguments_are_looked_up_under_their_directory(spark):
