@@ -97,7 +97,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # alone in its workers, it can keep more than the stage of the pipeline can
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), packing.PackConfig(cache_chunks=700_000))
 
 
 @register("op8_neardup")

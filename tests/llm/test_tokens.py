@@ -189,3 +189,13 @@ def test_warc_contract_and_random_access(spark, tmp_path):
     assert warc.read(spark, path, payloads=True).where("page_id = 2").first().url == "http://b%0D%0AX: y"
     warc.write(docs.limit(0), f"{tmp_path}/none")
     assert warc.read(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_words_encoded_together_have_the_ids_of_each_word():
+    encoder = packing.ChunkEncoder(packing.PackConfig())
+    words = ["a", "'s", "'", "''", "</w>", "w", "1", "\xb5", "\xe9t\xe9", "x" * 3000, "!?", "<|", "endoftext", "\x00", "\x7f"]
+    words += [f"w{'ab' * (i % 7)}" for i in range(500)]
+    assert encoder._encoded_words(words) == encoder._encoded(words)
+    assert encoder._encoded_words(words, 7) == encoder._encoded(words) and encoder._encoded_words([]) == []
+    text = "a'sb ' 's 'll'd'' x</w>y <|endoftext|> \xdf \xb5\xbd \u4e2d \ufb01 e\u0301 \u0301 \x85 \xa0x a\u3000b\x1c\x1dz"
+    assert encoder.ids(text) == encoder._encoded([text])[0]
