@@ -18,9 +18,16 @@ shingles that weigh less has a proven size whatever the corpus.
 3. Candidates: a bucket (band, hash) pairs its members with one of them, the
    first in a random order that differs between bands.  After verification, a
    bucket that still holds several classes pairs a new member, one of its
-   smallest class, with those of other classes, ``rounds`` times in all.  So a
-   bucket of n members costs rounds * n pairs at most, not n squared; two texts
-   share about eight buckets at the threshold, each with its own centres.
+   smallest class, with those of other classes, ``rounds`` times in all: rounds * n
+   pairs at most for a bucket of n members.  The members of buckets that hold
+   several classes still, centres aside, then meet wherever their weighted
+   prefixes share a shingle, so no two texts of one bucket at the threshold are
+   left unmet: with the shingles of a text in one order for all texts, rarest
+   first, the first that two texts share stands where the weight from there on is
+   their overlap or more, which is threshold / (1 + threshold) of their weights
+   together at least.  A passage that all share is thus met only by texts which
+   it alone could bring to the threshold; what follows such a passage costs the
+   square of their number where they are different classes all the same.
 4. Verification: the weighted Jaccard similarity of the two whole texts is
    ``threshold`` or more.
 5. Classes: connected components by label propagation with pointer jumping.
@@ -56,7 +63,8 @@ class NearConfig:
     heavy: int = 200_000
     least_df: int = 16
     orders: int = 4                  # different random orders over the bands in the first round; then one a band
-    rounds: int = 3                  # of candidates; tests/llm holds the links found against all pairs
+    rounds: int = 3                  # of centres, before prefixes take over
+    width: float = 1.03              # ratio of the weights in which texts are held to have one weight in prefixes
     chunk_chars: int = 2_000_000     # text hashed at once
     block_shingles: int = 1_000_000  # shingles counted before a task sends them
     ranges: int = 8                  # hash ranges per shuffle partition; one range is merged in memory
@@ -377,6 +385,70 @@ def _packed_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return met.groupBy("node").agg(F.first("packed").alias("packed"))
 
 
+def _unpacked(packed: DataFrame) -> DataFrame:
+    def run(batches):
+        import zstandard
+        unpack = zstandard.ZstdDecompressor()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([unpack.decompress(x) for x in b.column("packed").to_pylist()], pa.binary())], ["text"])
+    return packed.select("packed").mapInArrow(run, "text binary").select(F.col("text").cast("string").alias("text"))
+
+
+def prefixes(first: list[bytes], weights: Weights, common: Weights, cfg: NearConfig) -> tuple[np.ndarray, ...]:
+    """(row, hash, weight from there on, weight of the text) of the shingles that a link's first shared one can be."""
+    rows, hashes, tf = shingles(first, cfg.words)
+    if not len(rows):
+        return rows, hashes, np.array([]), np.array([])
+    w = weights.of(hashes, tf)
+    order = np.lexsort((hashes, -common.of(hashes, np.ones(len(hashes))), rows))
+    rows, hashes, w = rows[order], hashes[order], w[order]
+    at = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    total = np.repeat(np.add.reduceat(w, at), np.diff(np.append(at, len(rows))))
+    gone = np.cumsum(w) - w
+    rest = total - (gone - np.repeat(gone[at], np.diff(np.append(at, len(rows)))))
+    held = rest >= cfg.threshold * total * (1 - 1e-6)
+    return rows[held], hashes[held], rest[held], total[held]
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame, weights, cfg: NearConfig) -> DataFrame:
+    """Pairs (a, b), a < b, of different classes whose prefixes share a shingle; ``members`` is (node, comp), once each."""
+    packed = cut_lineage(members.join(texts, "node").select("node", "comp", "packed"))
+    # shingles frequent among these texts come last; the order decides the cost, not the links
+    common = members.sparkSession.sparkContext.broadcast(fit_weights(_unpacked(packed), cfg))
+
+    def run(batches):
+        import zstandard
+        unpack, w, c = zstandard.ZstdDecompressor(), weights.value, common.value
+        for batch in batches:
+            raw = [unpack.decompress(x) for x in batch.column("packed").to_pylist()]
+            for x, y in _chunks(raw, cfg.chunk_chars):
+                rows, hashes, rest, total = prefixes(raw[x:y], w, c, cfg)
+                at = pa.array(rows + x)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").take(at), batch.column("comp").take(at), pa.array(hashes.view(np.int64)), pa.array(rest), pa.array(total)],
+                    ["node", "comp", "shingle", "rest", "total"])
+
+    entries = cut_lineage(packed.mapInArrow(run, "node binary, comp binary, shingle long, rest double, total double"))
+    mixed = entries.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+    share, log = cfg.threshold / (1 + cfg.threshold), float(np.log(cfg.width))
+    span = lambda v: F.floor(F.log(v) / log)
+    # the span of weights where a partner can be: overlap >= threshold of either weight, and >= share of both
+    most = F.least(F.col("total") / cfg.threshold, F.col("rest") / share - F.col("total")) * (1 + 1e-5)
+    least = F.col("total") * cfg.threshold * (1 - 1e-5)
+    met = cut_lineage(entries.join(mixed.select("shingle"), "shingle").select(
+        "*", span(F.col("total")).alias("own"), F.explode(F.sequence(span(least), F.greatest(span(most), span(least)))).alias("other")))
+
+    def side(name, own, other, keep):
+        return met.where(keep).select("shingle", F.col(own).alias("light"), F.col(other).alias("dark"), *[
+            F.col(c).alias(f"{name}_{c}") for c in ("node", "comp", "rest", "total")])
+    both = side("x", "own", "other", F.col("own") <= F.col("other")).join(
+        side("y", "other", "own", F.col("own") >= F.col("other")), ["shingle", "light", "dark"])
+    needed = (F.col("x_total") + F.col("y_total")) * share * (1 - 1e-6)
+    found = both.where((F.col("x_comp") != F.col("y_comp")) & (F.col("x_rest") >= needed) & (F.col("y_rest") >= needed)
+                       & ((F.col("light") < F.col("dark")) | (F.col("x_node") < F.col("y_node"))))
+    return found.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of every node with a link; comp is the class's smallest node."""
     both = cut_lineage(links.select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -410,20 +482,32 @@ def classes(docs: DataFrame, cfg: NearConfig = NearConfig()) -> DataFrame:
 
     links, spent, comp = None, None, None
     there = members.select("*", F.col("node").alias("comp"), F.lit(1).cast("long").alias("size"))
-    for round_no in range(cfg.rounds):
-        if comp is not None:
-            # go on with the buckets that hold several classes still
-            sized = comp.join(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "comp")
-            now = cut_lineage(there.select("band", "hash", "node").join(sized, "node", "left").select(
-                "band", "hash", "node", F.coalesce("comp", "node").alias("comp"), F.coalesce("size", F.lit(1)).alias("size")))
-            mixed = now.groupBy("band", "hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-            there = cut_lineage(now.join(mixed.select("band", "hash"), ["band", "hash"]))
-        pairs, centres = _centred(there, spent, round_no, cfg)
-        spent = centres if spent is None else spent.unionAll(centres)
+
+    def mixed(rows):
+        """The members of the buckets that hold several classes."""
+        ends = rows.groupBy("band", "hash").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+        return cut_lineage(rows.join(ends.select("band", "hash"), ["band", "hash"]))
+
+    def linked(pairs):
+        nonlocal links, comp, there
         new = cut_lineage(_verified(pairs, texts, shared, cfg))
         if new.take(1):
             links = new if links is None else links.unionAll(new)
             comp = components(links)
+            sized = comp.join(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "comp")
+            there = cut_lineage(there.select("band", "hash", "node").join(sized, "node", "left").select(
+                "band", "hash", "node", F.coalesce("comp", "node").alias("comp"), F.coalesce("size", F.lit(1)).alias("size")))
+
+    for round_no in range(cfg.rounds):
+        pairs, centres = _centred(there, spent, round_no, cfg)
+        spent = centres if spent is None else spent.unionAll(centres)
+        linked(pairs)
+        there = mixed(there)
+    # centres have met all other classes of their buckets; of the other members, those of one bucket and several classes have not met
+    rest = mixed(there if spent is None else there.join(spent, ["band", "hash", "node"], "left_anti")).select("node", "comp").distinct()
+    rest = cut_lineage(rest)
+    if rest.take(1):
+        linked(_prefix_pairs(rest, texts, shared, cfg))
 
     named = per_text.drop("bands")
     named = named.withColumn("comp", F.col("node")) if comp is None else \

@@ -147,3 +147,26 @@ def test_pipeline_against_its_parts(spark, tmp_path):
             at += length
         assert at <= 2048
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "pii", "packing"]
+
+
+def test_no_pair_of_a_crowded_bucket_is_left_unmet(spark):
+    rng = random.Random(21)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    passage = words(170)
+    cfg = neardup.NearConfig(least_df=1000)     # the passage weighs as much as other text, as in a far larger corpus
+    texts, planted = [], []
+    for _ in range(250):
+        texts.append(" ".join(passage + words(rng.randrange(26, 55))))
+    for _ in range(120):
+        own = words(rng.randrange(26, 55))
+        shingled = 166 + len(own)
+        changed = int(shingled * rng.uniform(0.082, 0.105))       # similarity 0.81 to 0.85
+        planted.append((len(texts), len(texts) + 1))
+        texts += [" ".join(passage + own), " ".join(passage + own[:len(own) - changed] + words(changed))]
+    for i, j in planted:
+        a, b = _bag(texts[i]), _bag(texts[j])
+        assert 0.8 <= sum((a & b).values()) / sum((a | b).values()) < 0.86
+    got = {r.doc_id: r.class_id for r in neardup.classes(brute.documents(spark, texts), cfg).collect()}
+    assert [p for p in planted if got[p[0]] != got[p[1]]] == []
+    first = {j: i for i, j in planted}
+    assert got == {i: first.get(i, i) for i in range(len(texts))}
