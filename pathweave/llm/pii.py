@@ -3,7 +3,8 @@
 Everything is a DataFrame expression over one row; nothing is shuffled.  A
 pattern's matches and the pieces between them (``regexp_extract_all`` and
 ``split`` with the same pattern) are zipped, and one left-to-right fold over
-them gives each match its code-point offsets and the text just before it.
+them gives each match its code-point offsets.  The context of a confirmed span
+is cut from the whole text, so earlier spans do not hide a label from later ones.
 
 Defined results: a null or empty text has no spans; rows are independent, so
 ties, repeated rows and empty tables need no rule; other columns are untouched.
@@ -66,7 +67,7 @@ class Kind:
 
     ``seen`` is a cheap test that holds for every text with a match, ``valid``
     confirms a match, ``score`` is its score by itself and ``context`` the
-    words that raise it by ``PiiConfig.context_gain`` when one stands before it.
+    words that raise it by ``PiiConfig.context_gain`` when one stands before or after it.
     """
     name: str
     pattern: str
@@ -92,7 +93,7 @@ KINDS = (
 @dataclass(frozen=True)
 class PiiConfig:
     kinds: tuple = field(default=KINDS)
-    context_chars: int = 48     # how far before a span its context words may stand
+    context_chars: int = 48     # how far before or after a span its context words may stand
     context_gain: float = 0.4
     threshold: float = 0.5      # spans of the base kinds stay whatever their score
 
@@ -104,18 +105,23 @@ def kind_spans(text: Column, kind: Kind, cfg: PiiConfig) -> Column:
     """Confirmed spans of one kind in a text: struct(kind, start, end, score), by start."""
     pieces = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"),
                           F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hit"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"),
-                    F.array().cast("array<struct<start:bigint,value:string,before:string>>").alias("found"))
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,value:string>>").alias("found"))
 
     def step(acc, x):
         start = acc["at"] + F.length(x["gap"])
-        one = F.struct(start.alias("start"), x["hit"].alias("value"),
-                       F.right(x["gap"], F.lit(cfg.context_chars)).alias("before"))
+        one = F.struct(start.alias("start"), x["hit"].alias("value"))
         return F.struct((start + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
                         F.when(x["hit"].isNull(), acc["found"]).otherwise(F.array_append(acc["found"], one)).alias("found"))
 
     found = F.aggregate(pieces, zero, step, lambda acc: acc["found"])
-    near = (lambda x: x["before"].rlike(rf"(?i)\b(?:{kind.context})")) if kind.context else (lambda x: F.lit(False))
+
+    def near(x):
+        if not kind.context:
+            return F.lit(False)
+        start, end, n = x["start"].cast("int"), (x["start"] + F.length(x["value"])).cast("int"), F.lit(cfg.context_chars)
+        around = text.substr(F.greatest(start - n, F.lit(0)) + 1, F.least(start, n)), text.substr(end + 1, n)
+        return around[0].rlike(rf"(?i)\b(?:{kind.context})") | around[1].rlike(rf"(?i)\b(?:{kind.context})")
+
     scored = F.transform(F.filter(found, lambda x: kind.valid(x["value"])), lambda x: F.struct(
         F.lit(kind.name).alias("kind"), x["start"].alias("start"),
         (x["start"] + F.length(x["value"])).alias("end"),

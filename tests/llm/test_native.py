@@ -115,3 +115,20 @@ def test_chat_typed_parts(spark):
     assert [(a.kind, a.ref, a.tokens) for a in s.attachments] == [("image", "img://1", 30), ("audio", "aud://1", 63), ("document", "doc://1", 3072)]
     assert r.media_tokens == 30 + 63 + 3072
     assert s.formatted[s.loss[0].start:s.loss[0].end].startswith("see ")
+
+
+def _extra(spark, texts):
+    """iban, ssn and passport spans of each text, as the text under them; and the masked texts."""
+    docs = brute.documents(spark, texts)
+    found = pii.find(docs, out="found").orderBy("doc_id").collect()
+    masked = [r.text for r in pii.redact(docs).orderBy("doc_id").collect()]
+    return [[(s.kind, r.text[s.start:s.end]) for s in r.found if s.kind in ("iban", "ssn", "passport")] for r in found], masked
+
+
+def test_pii_context_reaches_past_other_spans_and_behind_a_span(spark):
+    texts = ["SSN: 123-45-6789, 456-78-9012", "passport: C01234567, C01234568", "123-45-6789 (SSN)",
+             "my ssn is 123-45-6789 but 123-45-6789 too; passport: C01234567", "123-45-6789" + " x" * 30 + " ssn", "é \U0001F600 123-45-6789"]
+    got, masked = _extra(spark, texts)
+    assert got == [[("ssn", "123-45-6789"), ("ssn", "456-78-9012")], [("passport", "C01234567"), ("passport", "C01234568")],
+                   [("ssn", "123-45-6789")], [("ssn", "123-45-6789")] * 2 + [("passport", "C01234567")], [], []]
+    assert masked[0] == "SSN: [SSN], [SSN]" and masked[2] == "[SSN] (SSN)"
