@@ -24,10 +24,18 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[ -]?+[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+# every start of an IBAN is a match of its own; the text that it may reach to, and one character more, is group 1
+IBAN = r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11}(?: ?[A-Za-z0-9]){0,20}))[A-Z]{2}[0-9]{2}"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PASSPORT = r"(?<![A-Za-z0-9])[A-Z]{1,2}[0-9]{6,9}(?![A-Za-z0-9])"
 
+# characters of an IBAN without spaces, by country
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}$"
 
 
@@ -56,6 +64,19 @@ def mod97(v: Column) -> Column:
     return folded == 1
 
 
+def iban_in(reach: Column) -> Column:
+    """The IBAN that ``reach`` starts with, null if none.
+
+    It ends before a character that is no letter or digit and passes mod 97:
+    with the length of its country if that does, else the longest.
+    """
+    ends = [F.regexp_extract(reach, rf"^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])", 0) for n in range(34, 14, -1)]
+    passed = F.filter(F.array(*ends), lambda v: (F.length(v) > 0) & mod97(v))
+    lengths = F.create_map(*[F.lit(x) for n, names in IBAN_LENGTHS.items() for c in names.split() for x in (c, n)])
+    usual = F.filter(passed, lambda v: F.length(F.regexp_replace(v, " ", "")) == lengths[F.substring(v, 1, 2)])
+    return F.coalesce(F.get(usual, F.lit(0)), F.get(passed, F.lit(0)))
+
+
 def _valid_card(v: Column) -> Column:
     d = _digits(v)
     return F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False)
@@ -76,6 +97,7 @@ class Kind:
     score: float
     context: str = ""
     base: bool = False
+    within: object = None       # the span in what group 1 of a match reaches to, or null, where a match is only its start
 
 
 KINDS = (
@@ -83,7 +105,7 @@ KINDS = (
     Kind("ip", IP, r"[0-9]\.[0-9]", lambda v: v.rlike(IP_PARTS), 0.6, r"ip|host|server|address", True),
     Kind("card", CARD, r"[0-9](?:[ -]?[0-9]){12}", _valid_card, 0.8, "card|visa|credit|payment", True),
     Kind("phone", PHONE, r"\+[0-9]", lambda v: F.length(_digits(v)).between(9, 15), 0.7, "phone|tel|call|mobile", True),
-    Kind("iban", IBAN, "[A-Z]{2}[0-9]{2}", mod97, 0.9, "iban|account|konto"),
+    Kind("iban", IBAN, "[A-Z]{2}[0-9]{2}", lambda v: v.isNotNull(), 0.9, "iban|account|konto", within=iban_in),
     Kind("ssn", SSN, "[0-9]{3}-[0-9]{2}-[0-9]{4}", lambda v: ~v.rlike("^(?:000|666|9)|-00-|-0000$"), 0.3,
          "ssn|social security"),
     Kind("passport", PASSPORT, "[A-Z][0-9]{6}", lambda v: F.lit(True), 0.1, "passport|pass no|reisepass"),
@@ -101,19 +123,31 @@ class PiiConfig:
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
+def _apart(found: Column) -> Column:
+    """Without those that start inside the one kept before."""
+    kind = "array<struct<start:bigint,value:string>>"
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("kept"))
+    return F.aggregate(found, zero, lambda acc, x: F.when(x["start"] < acc["at"], acc).otherwise(F.struct(
+        (x["start"] + F.length(x["value"])).alias("at"), F.array_append(acc["kept"], x).alias("kept"))), lambda acc: acc["kept"])
+
+
 def kind_spans(text: Column, kind: Kind, cfg: PiiConfig) -> Column:
     """Confirmed spans of one kind in a text: struct(kind, start, end, score), by start."""
     pieces = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"),
-                          F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hit"))
+                          F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hit"),
+                          F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.within else 0)).alias("value"))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,value:string>>").alias("found"))
 
     def step(acc, x):
         start = acc["at"] + F.length(x["gap"])
-        one = F.struct(start.alias("start"), x["hit"].alias("value"))
+        one = F.struct(start.alias("start"), x["value"].alias("value"))
         return F.struct((start + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
                         F.when(x["hit"].isNull(), acc["found"]).otherwise(F.array_append(acc["found"], one)).alias("found"))
 
     found = F.aggregate(pieces, zero, step, lambda acc: acc["found"])
+    if kind.within:
+        found = _apart(F.filter(F.transform(found, lambda x: F.struct(x["start"].alias("start"), kind.within(x["value"]).alias("value"))),
+                                lambda x: x["value"].isNotNull()))
 
     def near(x):
         if not kind.context:

@@ -132,3 +132,13 @@ def test_pii_context_reaches_past_other_spans_and_behind_a_span(spark):
     assert got == [[("ssn", "123-45-6789"), ("ssn", "456-78-9012")], [("passport", "C01234567"), ("passport", "C01234568")],
                    [("ssn", "123-45-6789")], [("ssn", "123-45-6789")] * 2 + [("passport", "C01234567")], [], []]
     assert masked[0] == "SSN: [SSN], [SSN]" and masked[2] == "[SSN] (SSN)"
+
+
+def test_pii_iban_ends_where_it_ends(spark):
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = [f"{de} BIC COBADEFFXXX", f"{de} {gb} {de}", f"PAY TO {de} BEFORE NOON 2024", f"AB12 {de}", f"{de} Bank", f"{de}x", f"x{de}",
+             f"é{gb}, {gb}.", "NO93 8601 1117 947 OSLO", "DE00 3704 0044 0532 0130 00 BIC", "MT84 MALT 0110 0001 2345 MTLC AST0 01S X"]
+    got, masked = _extra(spark, texts)
+    assert [[v for k, v in g if k == "iban"] for g in got] == [
+        [de], [de, gb, de], [de], [de], [de], [], [], [gb, gb], ["NO93 8601 1117 947"], [], ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"]]
+    assert masked[1] == "[IBAN] [IBAN] [IBAN]"
