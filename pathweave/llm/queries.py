@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathweave.session import ensure_checkpoint_dir, table
+from pathweave.session import cut_lineage, ensure_checkpoint_dir, table
 
-from . import bpe, chat, dedup, neardup, packing, pii, quality, secrets, toxicity, warc
+from . import bpe, chat, dedup, mixing, neardup, packing, pii, quality, secrets, toxicity, variants, warc, whitening
 from .registry import register
 
 
@@ -105,3 +105,41 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "class_id", "class_size", "kept")
+
+
+@register("op11_mixing")
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laid, sources = mixing.lay_out(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), text=False)
+    laid = cut_lineage(laid)
+    taken = mixing.mix(laid, sources).groupBy("src", "offset").agg(F.sum("length").alias("taken")) \
+        .select(F.col("src").alias("t_src"), F.col("offset").alias("t_offset"), "taken")
+    # documents without words share their offset with the next one
+    same = (F.col("src") == F.col("t_src")) & (F.col("offset") == F.col("t_offset")) & (F.col("size") > 0)
+    return laid.join(sources.select("src", "source_size", "target"), "src").join(taken, same, "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
+@register("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 8)
+
+
+RUN = "[A-Za-z\\u00C0-\\u00FF]{6,}+"     # shorter runs give no word of six code points
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def run_words(docs: DataFrame) -> DataFrame:
+    """(word, n) of the contract's words; a null doc_id counts as an empty text."""
+    run = F.translate("run", UPPER, LOWER)
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(RUN), F.lit(0))).alias("run")) \
+        .select(run.alias("run"), F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run)).alias("h"))
+    gone = (F.col("h") % F.length("run")).cast("int")
+    word = F.when(F.col("h") % 199 == 0, F.concat(F.col("run").substr(F.lit(1), gone), F.col("run").substr(gone + 2, F.length("run")))) \
+        .otherwise(F.col("run"))
+    return runs.groupBy(word.alias("word")).agg(F.count(F.lit(1)).alias("n")).where("length(word) >= 6 AND n >= 5")
+
+
+@register("op13_variants")
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(cut_lineage(run_words(table(spark, sf_dir, "documents").select("doc_id", "text")))).select(
+        "word", "form", "root", "n", "n_near", "form_n")

@@ -1,0 +1,105 @@
+"""Whitening against exact integers and plain numpy."""
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from pathweave.llm import registry, whitening
+
+from . import brute
+
+registry.load_all()
+SCHEMA = "vec_id long, embedding array<float>, component string, n long"
+
+
+def table(spark, vectors, ids=None):
+    return spark.createDataFrame([(i if ids is None else ids[i], v, "x", 0) for i, v in enumerate(vectors)], SCHEMA)
+
+
+def plain(vectors):
+    """x, sums and the covariance of the usable vectors, exactly."""
+    x = [[math.floor(1024 * float(np.float32(c))) + 100_000 for c in v] for v in vectors]
+    n, sums = len(x), [sum(c) for c in zip(*x)]
+    v = [[sum(Fraction(n * a[i] - sums[i]) * (n * a[j] - sums[j]) for a in x) / n ** 3 for j in range(len(sums))] for i in range(len(sums))]
+    return x, sums, v
+
+
+def bad():
+    return [None, [0.1, None, 0.2, 0.3, 0.4], [float("nan")] * 5, [0.0, 0.0, float("inf"), 0.0, 0.0], [1.0, 2.0], []]
+
+
+def test_bit_planes_give_exact_cross_products():
+    rng = np.random.default_rng(1)
+    for rows, high in ((1, 2), (63, 5), (64, 1 << 12), (200, 1 << 40), (130, 1)):
+        y = rng.integers(0, high, (rows, 6)).astype(np.uint64)
+        want = np.array(y.astype(object)).T.dot(y.astype(object))
+        assert (np.triu(whitening.cross_products(y).astype(object)) == np.triu(want)).all()
+
+
+def test_whitened_rows_match_plain_numpy(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    good = (rng.normal(size=(300, 5)) @ np.diag([3.0, 1.0, 0.5, 40.0, 0.01]) + [0, 5, -900, 0, 1]).astype(np.float32).tolist()
+    good += [good[0]] * 20                          # repeated vectors count each time
+    brute.save(table(spark, good + bad()).repartition(4), tmp_path, "embeddings")
+    got = registry.QUERIES["op12_whitening"](spark, str(tmp_path)).collect()
+    x, sums, v = plain(good)
+    n = len(x)
+    e = np.sort(np.linalg.eigvalsh(np.array(v, dtype=float)))[::-1]
+    assert len(got) == n * 5 and {r.n for r in got} == {n}
+    z = np.zeros((n, 5))
+    for r in got:
+        z[r.vec_id, r.component - 1] = r.whitened
+        assert r.deviation == sum((n * a - s) ** 2 for a, s in zip(x[r.vec_id], sums))
+        assert r.explained == pytest.approx(e[r.component - 1] / e.sum(), rel=1e-6)
+    assert {r.identity_error for r in got}.pop() < 1e-9
+    assert np.abs(z.T @ z / n - np.eye(5)).max() < 1e-9
+    centred = np.array(x, dtype=float) - np.array(sums) / n
+    back = (z * np.sqrt(e)) @ np.linalg.lstsq(z * np.sqrt(e), centred, rcond=None)[0]
+    assert np.abs(back - centred).max() < 1e-6      # five components of five dimensions lose nothing
+
+
+def test_vectors_are_eigenvectors_to_double_precision():
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(400, 6)) @ np.diag([1e6, 1e6, 1e3, 1, 1, 0.5])).astype(np.int64) * 3
+    n, sums = len(x), [int(s) for s in x.sum(axis=0)]
+    cross = {(i, j): int(x[:, i] @ x[:, j]) for i in range(6) for j in range(i, 6)}
+    m = whitening.components(n, sums, cross)
+    v = [[Fraction(n * cross[min(i, j), max(i, j)] - sums[i] * sums[j], n * n) for j in range(6)] for i in range(6)]
+    for c in range(len(m.values)):
+        w = [Fraction(float(a)) for a in m.vectors[:, c]]
+        for i in range(6):
+            off = sum(v[i][j] * w[j] for j in range(6)) - Fraction(float(m.values[c])) * w[i]
+            assert abs(off) < 1e-13 * float(max(v[d][d] for d in range(6)))
+        assert abs(sum(a * a for a in w) - 1) < 1e-14
+
+
+def test_degenerate_tables(spark, tmp_path):
+    q = registry.QUERIES["op12_whitening"]
+    for vectors in ([], bad()[:4], [[0.5, 0.25]] * 9):
+        brute.save(table(spark, vectors), tmp_path, "embeddings")
+        assert q(spark, str(tmp_path)).count() == 0
+    # a constant and a dependent dimension leave one component
+    brute.save(table(spark, [[float(i), 2.0, float(i)] for i in range(12)], [None, *range(11)]), tmp_path, "embeddings")
+    got = q(spark, str(tmp_path)).collect()
+    assert {r.component for r in got} == {1} and len(got) == 12 and got[0].explained == pytest.approx(1.0)
+
+
+def test_results_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(4)
+    rows = table(spark, rng.normal(size=(500, 9)).astype(np.float32).tolist())
+    a, b = (whitening.fit(rows.repartition(k)) for k in (1, 7))
+    assert a.sums == b.sums and (a.vectors == b.vectors).all() and (a.values == b.values).all()
+
+
+def test_block_borders_and_negative_entries(monkeypatch, spark):
+    rng = np.random.default_rng(5)
+    rows = table(spark, (rng.normal(size=(333, 4)) * 1e4).astype(np.float32).tolist()).coalesce(1)
+    monkeypatch.setattr(whitening, "BLOCK_ENTRIES", 300)
+    assert whitening.fit(rows).n == 333
+
+
+def test_extra_columns_are_left_alone(spark):
+    rows = table(spark, [[float(i), float(i * i % 7)] for i in range(30)])
+    assert whitening.whiten(rows, 1).columns[:3] == ["vec_id", "component", "n"]
