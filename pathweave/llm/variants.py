@@ -6,9 +6,14 @@ share, and says whether that prefix is a word itself.  It is built from the
 root down, one aggregation a level: the common prefix of a group of words is
 that of its least and its greatest word, so no group is gathered.
 
+Each word stands in the trie twice, read forwards and backwards (a mark before
+it keeps the two apart).  Two words one edit apart share the first or the last
+half of either, so only edits in the second half of a reading are looked for,
+below nodes that few words share.
+
 A state is (word, position, node, edits).  Without edits, a word stands at the
-nodes of its own path, which the construction wrote down.  From each of these,
-one join with the edges of the node makes the edit: a label is consumed with
+nodes of its own path, which the construction wrote down.  From each of these
+in its second half, one join with the edges of the node makes the edit: a label is consumed with
 one character replaced, missing in the word or too many in it.  States with an
 edit only go on where the rest of the word matches a label exactly, one join a
 level on the edge's first character; a state at the end of its word and at a
@@ -51,17 +56,22 @@ def _common_prefix(lo: Column, hi: Column) -> Column:
     return F.when(lo == hi, F.length(lo)).otherwise(F.array_position(same, F.lit(False)).cast("int") - 1)
 
 
+def _half(word: Column) -> Column:
+    """Characters of a reading, mark included, that are not edited: half of the word or one less."""
+    return 1 + F.floor((F.length(word) - 1) / 2)
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (word, n), distinct: paths (word, node, depth, under) and
 
-    edges (node, under, head, label, child, ends, n): ``under`` counts the words that go
+    edges (node, under, head, n_words, label, child, ends, n): ``under`` counts the words that go
     through the node, ``head`` is the node and the label's first character, ``ends`` says that
-    the child is a word, ``n`` being its count.
+    the child is a word, ``n`` being its count.  Paths hold the nodes from which an edit in the
+    second half of the word can be reached.
     """
     live = cut_lineage(words.select("word", F.lit(0).alias("depth"), F.lit(words.count()).cast("long").alias("under"), "n"))
     paths, edges = [], []
     while not live.isEmpty():
-        paths.append(live.select("word", F.substring("word", F.lit(1), F.col("depth")).alias("node"), "depth", "under"))
         onward = live.where(F.length("word") > F.col("depth")).withColumn(
             "head", F.substring("word", F.lit(1), F.col("depth") + 1))
         groups = onward.groupBy("head").agg(F.count(F.lit(1)).alias("n_words"), F.max("under").alias("under"),
@@ -73,9 +83,13 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.col("lo.word").substr(F.lit(1), F.col("to")).alias("child"),
             (F.length("lo.word") == F.col("to")).alias("ends"), F.col("lo.n").alias("n")))
         edges.append(level)
-        live = cut_lineage(onward.drop("under").join(
-            level.where("n_words > 1").select("head", F.length("child").alias("to"), F.col("n_words").alias("under")), "head")
-            .select("word", F.col("to").alias("depth"), "under", "n"))
+        ended = live.where(F.length("word") <= F.col("depth")).select("word", "depth", "under", "n", F.col("depth").alias("to"),
+                                                                    F.lit(0).cast("long").alias("n_words"))
+        passed = cut_lineage(onward.join(level.select("head", F.length("child").alias("to"), "n_words"), "head")
+                             .drop("head").unionByName(ended))
+        paths.append(passed.where(F.col("to") >= _half(F.col("word"))).select(
+            "word", F.substring("word", F.lit(1), F.col("depth")).alias("node"), "depth", "under"))
+        live = passed.where("n_words > 1").select("word", F.col("to").alias("depth"), F.col("n_words").alias("under"), "n")
     if not edges:
         none = words.where(F.lit(False))
         empty, zero = F.lit("").alias, F.lit(0).cast("long").alias
@@ -90,7 +104,7 @@ def _one_edit(paths: DataFrame, edges: DataFrame, cfg: VariantConfig) -> DataFra
     """States (word, pos, node) after the edit, from every state without one."""
     salts = F.floor(F.col("under") / cfg.salt_words)
     here = paths.withColumn("salt", F.pmod(F.xxhash64("word"), salts + 1))
-    there = edges.select("node", "label", "child", F.explode(F.sequence(F.lit(0).cast("long"), salts)).alias("salt"))
+    there = edges.select("node", "head", "label", "child", F.explode(F.sequence(F.lit(0).cast("long"), salts)).alias("salt"))
     k = F.length("label")
 
     def ends_at(extra: int) -> Column:
@@ -101,12 +115,21 @@ def _one_edit(paths: DataFrame, edges: DataFrame, cfg: VariantConfig) -> DataFra
 
     # equal lengths one edit apart differ by one replaced character, unequal ones by one inserted or deleted
     places = F.filter(F.array(ends_at(0), ends_at(-1), ends_at(1)), lambda p: p.isNotNull())
-    return here.join(there, ["node", "salt"]).select("word", F.explode(places).alias("pos"), F.col("child").alias("node"))
+    half = _half(F.col("word"))
+    own = (F.length("child") >= half) & F.col("word").startswith(F.col("head"))
+    return here.join(there, ["node", "salt"]).where((F.col("depth") >= half) | own).select("word", F.explode(places).alias("pos"), F.col("child").alias("node"))
+
+
+def _word(reading: Column) -> Column:
+    """The word of one of its two readings."""
+    rest = reading.substr(F.lit(2), F.length(reading))
+    return F.when(reading.startswith("<"), F.reverse(rest)).otherwise(rest)
 
 
 def neighbours(words: DataFrame, cfg: VariantConfig = VariantConfig()) -> DataFrame:
     """From (word, n), distinct: (word, near, near_n) of all ordered pairs of words one edit apart."""
-    paths, edges = trie(words)
+    back = F.concat(F.lit("<"), F.reverse("word"))
+    paths, edges = trie(words.select(F.explode(F.array(F.concat(F.lit(">"), "word"), back)).alias("word"), "n"))
     ends = edges.where("ends").select(F.concat("child", F.lit(END)).alias("head"), F.lit("").alias("label"), "child",
                                       F.lit(True).alias("over"), "n")
     steps = cut_lineage(edges.select("head", "label", "child", F.lit(False).alias("over"), "n").unionByName(ends))
@@ -116,8 +139,9 @@ def neighbours(words: DataFrame, cfg: VariantConfig = VariantConfig()) -> DataFr
         moved = states.withColumn("head", F.concat("node", here)).drop("node").join(steps, "head") \
             .where(F.col("word").substr(F.col("pos") + 1, F.length("label")) == F.col("label")) \
             .select("word", (F.col("pos") + F.length("label")).alias("pos"), F.col("child").alias("node"), "over", "n")
-        moved = cut_lineage(moved.distinct())
-        found.append(moved.where("over").select("word", F.col("node").alias("near"), F.col("n").alias("near_n")))
+        moved = cut_lineage(moved)
+        found.append(moved.where("over").select(_word(F.col("word")).alias("word"), _word(F.col("node")).alias("near"),
+                                                F.col("n").alias("near_n")))
         states = moved.where(~F.col("over")).select("word", "pos", "node")
         if states.isEmpty():
             return reduce(DataFrame.unionByName, found).distinct()
