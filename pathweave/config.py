@@ -20,8 +20,8 @@ class MineConfig:
     # "fixed": leaves are ordered by the adapter's sort key (used by oracles).
     leaf_order: str = "random"
     seed: int = 42
-    # start-rank window of the first round when max_path_len > 0; it doubles per round
-    length_round_start: int = 64
+    # start leaves a tree in the first round when max_path_len > 0; they double per round
+    length_round_start: int = 1
 
     def with_(self, **kw) -> "MineConfig":
         return replace(self, **kw)
@@ -30,7 +30,7 @@ class MineConfig:
 @dataclass(frozen=True)
 class DatasetConfig:
     train_ratio: float = 0.7
-    keep_remainder: bool = False
+    keep_remainder: bool = True      # False loses the last sample where the rest after train is odd, as the reference does
     max_contexts: int = 200          # kept in test / val rows
     max_data_contexts: int = 1000    # kept in train rows; also the padding width
     subtoken_vocab_size: int = 186277

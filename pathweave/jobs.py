@@ -17,6 +17,7 @@ from .operators import dataset as D
 from .operators import vocab as V
 from .schemas import CURSORS
 from .session import cut_lineage
+from .sources.c2s import RAW_ORDER, parse_dataset_lines, read_raw_samples
 
 
 def mine_job(spark: SparkSession, cursors_path: str, out: str, cfg: MineConfig = MineConfig(),
@@ -39,12 +40,23 @@ def mine_job(spark: SparkSession, cursors_path: str, out: str, cfg: MineConfig =
 
 
 def merge_job(spark: SparkSession, samples_paths: list[str], out: str, cfg: DatasetConfig = DatasetConfig(),
-              text: bool = False) -> DataFrame:
-    """Bag of sample sets -> first sample per (file, line) -> ids, shuffle, split -> ``out/dataset``."""
-    parts = [spark.read.parquet(p).withColumn("_src", F.lit(i)) for i, p in enumerate(samples_paths)]
-    merged = D.merge_raw(*parts)
-    order = ["_src"] + (["unit_cursor"] if "unit_cursor" in merged.columns else [])
-    unique = cut_lineage(D.dedup_first(merged, ["file", "line"], order).drop("_src"))
+              text: bool = False, raw_text: bool = False) -> DataFrame:
+    """Bag of sample sets -> first sample per (file, line) -> ids, shuffle, split -> ``out/dataset``.
+
+    A path is a folder of samples as Parquet or, with ``raw_text``, of raw text files.  Earlier
+    paths win; within one, the order is that of the mined functions, or of the raw files and their lines.
+    """
+    if raw_text:
+        parts = [read_raw_samples(spark, p) for p in samples_paths]
+        order = ["_src", *RAW_ORDER]
+    else:
+        parts = [spark.read.parquet(p) for p in samples_paths]
+        order = ["_src"] + (["unit_cursor"] if all("unit_cursor" in p.columns for p in parts) else [])
+    merged = D.merge_raw(*[p.withColumn("_src", F.lit(i)) for i, p in enumerate(parts)])
+    unique = D.dedup_first(merged, ["file", "line"], order)
+    if raw_text:
+        unique = parse_dataset_lines(unique.drop(*RAW_ORDER), "sample")
+    unique = cut_lineage(unique.drop("_src"))
     ds = D.shuffle_split(unique, cfg)
     sinks.write_splits(ds, f"{out}/dataset")
     if text:

@@ -17,10 +17,9 @@ Scale notes
   third of all leaves sends at most ``k`` rows per map task to the final window.
 * Leaf pairs are generated in-row from that bounded array (no theta join): the
   output of the pair step is exactly the contexts that are kept.
-* With a path-length limit the kept pairs can come from any start leaf; pairs
-  are then produced in rounds of doubling start-rank windows (each a bounded
-  top-k) until each tree holds ``max_contexts + 1`` survivors or has no start
-  leaf left (exact, and no tree is ranked whole).
+* With a path-length limit, leaves meet in an index of their ancestors within
+  the limit; only leaves that have a partner start pairs, in rounds of doubling
+  numbers of starts with bounded top-k on both sides (exact, no tree is ranked whole).
 """
 
 from __future__ import annotations
@@ -42,41 +41,34 @@ CTX_TYPE = "struct<start:array<string>,path:array<string>,end:array<string>>"
 
 # ---------------------------------------------------------------- D1 root paths
 def root_paths(edges: DataFrame, max_levels: int | None = None) -> DataFrame:
-    """Root-to-node ``ids``/``labels`` for any tree, one equi-join per level.
+    """Root-to-node ``ids``/``labels`` for any tree, by pointer doubling.
 
     ``edges``: tree_id, node_id, parent_id (null at the root), label, is_reserved
-    and any extra columns (carried along).  Each frontier is checkpointed to the
-    reliable checkpoint folder so lineage stays one level deep; the loop ends
-    when a frontier is empty (one cheap action per level).
+    and any extra columns (carried along).  Every node holds a pointer to an
+    ancestor and the path from there down to itself, at first its parent and
+    itself.  A round puts the ancestor's path before it and takes over the
+    ancestor's pointer, so it doubles what a node knows and a tree of depth d is
+    done after log2(d) + 1 rounds.  Nodes that have reached their root only serve as
+    ancestors.  Nodes under a missing parent or in a cycle have no root path
+    and are left out.  Rounds are written to the checkpoint folder.
     """
-    extra = [c for c in edges.columns if c not in ("tree_id", "node_id", "parent_id", "label", "is_reserved")]
-    roots = edges.where(F.col("parent_id").isNull()).select(
-        "tree_id", "node_id", "parent_id", "label", "is_reserved", *extra,
-        F.lit(0).alias("depth"), F.array("node_id").alias("ids"), F.array("label").alias("labels"))
-    children = edges.where(F.col("parent_id").isNotNull()).select(
-        "tree_id", F.col("parent_id").alias("ck"), F.col("node_id").alias("cid"),
-        F.col("label").alias("clabel"), F.col("is_reserved").alias("cres"),
-        *[F.col(c).alias(f"x_{c}") for c in extra])
-    frontier = cut_lineage(roots)
-    levels = [frontier]
-    level = 0
-    while max_levels is None or level < max_levels:
-        level += 1
-        nxt = (frontier.select("tree_id", F.col("node_id").alias("ck"), F.col("ids").alias("pids"),
-                               F.col("labels").alias("plabels"))
-               .join(children, ["tree_id", "ck"])
-               .select("tree_id", F.col("cid").alias("node_id"), F.col("ck").alias("parent_id"),
-                       F.col("clabel").alias("label"), F.col("cres").alias("is_reserved"),
-                       *[F.col(f"x_{c}").alias(c) for c in extra],
-                       F.lit(level).alias("depth"),
-                       F.concat("pids", F.array("cid")).alias("ids"),
-                       F.concat("plabels", F.array("clabel")).alias("labels")))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-        frontier = nxt
-    return reduce(DataFrame.unionByName, levels)
+    state = cut_lineage(edges.withColumns({
+        "up": F.col("parent_id"), "ids": F.array("node_id"), "labels": F.array("label")}))
+    done = [state.where(F.col("up").isNull())]
+    open_ = state.where(F.col("up").isNotNull())
+    while not open_.isEmpty():
+        above = state.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("up2"),
+                             F.col("ids").alias("ids2"), F.col("labels").alias("labels2"))
+        moved = (open_.join(above, ["tree_id", "up"])
+                 .withColumns({"ids": F.concat("ids2", "ids"), "labels": F.concat("labels2", "labels"), "up": F.col("up2")})
+                 .drop("up2", "ids2", "labels2")
+                 .where(F.col("up").isNull() | ~F.array_contains("ids", F.col("up"))))
+        moved = cut_lineage(moved)
+        done.append(moved.where(F.col("up").isNull()))
+        open_ = moved.where(F.col("up").isNotNull())
+        state = reduce(DataFrame.unionByName, done + [open_])
+    out = reduce(DataFrame.unionByName, done).drop("up").withColumn("depth", F.size("ids") - 1)
+    return out if max_levels is None else out.where(F.col("depth") <= max_levels)
 
 
 # ------------------------------------------------------------ F6 / D2 terminals
@@ -102,6 +94,27 @@ def depth_limit(nodes: DataFrame, max_depth: int) -> DataFrame:
     return nodes.where(F.col("depth") <= max_depth + 1)
 
 
+def depth_limit_terminals(terms: DataFrame, max_depth: int) -> DataFrame:
+    """The leaves that the limit leaves of a tree known by its leaves alone.
+
+    A leaf below the cut gives way to its ancestor at ``max_depth + 1``, which
+    lost its children; leaves with the same one are merged (partial aggregate).
+    That ancestor is a structure node, so it is reserved, and stands where the
+    first of its leaves stood.  A root that is a leaf keeps its one child.
+    """
+    if not max_depth:
+        return terms
+    n = max_depth + 2
+    deep = F.size("ids") > n
+    fields = ["tree_id", *LEAF_FIELDS, *(["sort_key"] if "sort_key" in terms.columns else [])]
+    cut = (terms.where(deep).select("tree_id", F.slice("ids", 1, n).alias("ids"), F.slice("labels", 1, n).alias("labels"),
+                                    *[F.col(f) for f in fields if f == "sort_key"])
+           .withColumns({"node_id": F.element_at("ids", -1), "label": F.element_at("labels", -1)}))
+    keep = [F.any_value(f).alias(f) for f in ("label", "ids", "labels")] + [F.min(f).alias(f) for f in fields if f == "sort_key"]
+    merged = cut.groupBy("tree_id", "node_id").agg(*keep).withColumn("is_reserved", F.lit(True))
+    return terms.where(~deep).select(*fields).unionByName(merged.select(*fields))
+
+
 # ------------------------------------------------------------------ E1 ordering
 def leaf_order_key(df: DataFrame, cfg: MineConfig) -> list:
     if cfg.leaf_order == "random":
@@ -177,6 +190,8 @@ def leaf_pairs(nodes: DataFrame | None, cfg: MineConfig, terms: DataFrame | None
     """
     if terms is None:
         terms = terminals(depth_limit(nodes, cfg.max_ast_depth))
+    else:
+        terms = depth_limit_terminals(terms, cfg.max_ast_depth)
     terms = terms.select("tree_id", *LEAF_FIELDS, *(["sort_key"] if cfg.leaf_order == "fixed" else []))
     m = cfg.max_contexts
     if cfg.max_path_len:
@@ -199,55 +214,87 @@ def _leaf_tokens(cfg: MineConfig):
     return token_or_subtokens("label", "is_reserved", cfg.max_subtokens)
 
 
+def ancestor_index(leaves: DataFrame, reach: int) -> DataFrame:
+    """A row per leaf and ancestor at most ``reach`` levels up: tree_id, anc, up, branch, okey, node_id.
+
+    ``up`` is 0 for the leaf itself; ``branch`` is the ancestor's child on the way to the leaf.
+    """
+    n = F.size("ids")
+    steps = F.transform(F.sequence(F.lit(0), F.least(F.lit(reach), n - 1)), lambda k: F.struct(
+        F.get("ids", n - 1 - k).alias("anc"), k.alias("up"), F.get("ids", n - k).alias("branch")))
+    return leaves.select("tree_id", "node_id", "okey", F.inline(steps))
+
+
+def _with_partner(index: DataFrame, reach: int) -> DataFrame:
+    """Leaves (tree_id, node_id, okey) with a later leaf in reach.
+
+    The last leaf under an ancestor within each distance is a partial maximum,
+    so looking it up is an equi-join that gives one row per leaf and ancestor.
+    """
+    last = index.groupBy("tree_id", "anc", "up").agg(F.max("okey").alias("okey"))
+    within = (last.select("tree_id", "anc", "okey", F.explode(F.sequence(F.col("up"), F.lit(reach))).alias("left"))
+              .groupBy("tree_id", "anc", "left").agg(F.max("okey").alias("last")))
+    return (index.withColumn("left", F.lit(reach) - F.col("up")).join(within, ["tree_id", "anc", "left"])
+            .where(F.col("last") > F.col("okey")).select("tree_id", "node_id", "okey").distinct())
+
+
 def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
     """Exact first ``max_contexts + 1`` pairs whose full path fits ``max_path_len``.
 
-    Rounds over doubling windows of start ranks.  A round's start leaves are
-    ranks ``[lo, lo + width)``, taken from a bounded top-``(lo + width)``
-    (partial ``WindowGroupLimit``); its partners are all leaves of the tree
-    ordered after the start, found by comparing order keys, so no tree is
-    ever ranked whole.  Pairs are filtered on the path length computed from
-    array sizes (before any string work).  Trees holding ``max_contexts + 1``
-    survivors, or with no start leaf left, leave the pending set.  The
-    survivors of all rounds are cut to the first ``m + 1`` per tree by a
-    bounded top-k in combination order.
+    A path over an ancestor ``u`` and ``v`` levels above its ends has u + v + 1
+    nodes, so partners meet in the ancestor index with u + v < ``max_path_len``;
+    the lowest common ancestor is the one that they reach by different branches.
+
+    Only leaves that have a later partner (``_with_partner``) are starts, and
+    each gives at least one pair, so the first ``max_contexts + 1`` starts suffice.
+    They are taken in rounds of ``length_round_start``, twice that, ... starts a tree, each round only for trees
+    still short of pairs.  A leaf under an ancestor that is before a start and in
+    its reach is itself one of the starts so far, so the partners that count are among the
+    first (starts so far + ``max_contexts`` + 1) leaves of (ancestor, distance): a bounded
+    top-k (partial ``WindowGroupLimit``) stands on that side of the join, and
+    another one cuts what a round writes to the pairs its tree still needs.
     """
-    m, limit = cfg.max_contexts, cfg.max_path_len
+    m, reach = cfg.max_contexts, cfg.max_path_len - 1
     okey = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(leaf_order_key(terms, cfg))])
-    leaves = cut_lineage(terms.withColumn("okey", okey).withColumn("tok", _leaf_tokens(cfg)))
-    counts = terminal_counts(leaves).where(F.col("n_terminals") >= 2)
-    pending = counts.withColumn("found", F.lit(0).cast("bigint"))
-    lo, width = 0, max(1, cfg.length_round_start)
-    rounds = []
-    fields = PAIR_FIELDS + ["okey"]
-    while True:
+    leaves = cut_lineage(terms.withColumns({"okey": okey, "tok": _leaf_tokens(cfg)}))
+    index = cut_lineage(ancestor_index(leaves, reach))
+    starts = cut_lineage(_with_partner(index, reach))
+    pending = starts.groupBy("tree_id").agg(F.count("*").alias("n_starts")).withColumn("found", F.lit(0).cast("bigint"))
+    lo, width, rounds = 0, max(1, cfg.length_round_start), []
+    while lo <= m:
         pending = cut_lineage(pending)
         if pending.isEmpty():
             break
-        keys = pending.select("tree_id")
-        live = leaves.join(keys, "tree_id", "left_semi")
-        starts = ranked_terminals(live, cfg, lo + width).where(F.col("rank") >= lo)
-        a = starts.select("tree_id", *[F.col(f).alias(f"a_{f}") for f in fields])
-        b = live.select("tree_id", *[F.col(f).alias(f"b_{f}") for f in fields])
-        cand = (a.join(b, "tree_id").where(F.col("b_okey") > F.col("a_okey"))
-                .where(path_len(F.size("a_ids"), F.size("b_ids"), lca_depth("a_ids", "b_ids")) <= limit))
-        cand = cut_lineage(cand)
-        rounds.append(cand)
-        found = cand.groupBy("tree_id").agg(F.count("*").alias("n_new"))
-        lo += width
-        width *= 2
-        pending = (pending.join(found, "tree_id", "left")
-                   .select("tree_id", "n_terminals", (F.col("found") + F.coalesce("n_new", F.lit(0))).alias("found"))
-                   .where((F.col("found") <= m) & (F.col("n_terminals") - 1 > lo)))
-    out_cols = [f"a_{f}" for f in PAIR_FIELDS] + [f"b_{f}" for f in PAIR_FIELDS]
+        live = starts.join(pending.select("tree_id", "found"), "tree_id")
+        place = F.row_number().over(Window.partitionBy("tree_id").orderBy("okey"))
+        mine = live.withColumn("rn", place).where(F.col("rn") <= lo + width).where(F.col("rn") > lo)
+        a = mine.select("tree_id", "node_id", "found").join(index, ["tree_id", "node_id"]).select(
+            "tree_id", "anc", "found", *[F.col(c).alias(f"a_{c}") for c in ("node_id", "okey", "up", "branch")])
+        near = index.join(pending.select("tree_id"), "tree_id", "left_semi").withColumn("rn", F.row_number().over(
+            Window.partitionBy("tree_id", "anc", "up").orderBy("okey"))).where(F.col("rn") <= lo + width + m + 1)
+        b = near.select("tree_id", "anc", *[F.col(c).alias(f"b_{c}") for c in ("node_id", "okey", "up", "branch")])
+        cand = (a.join(b, ["tree_id", "anc"])
+                .where((F.col("b_okey") > F.col("a_okey")) & (F.col("a_up") + F.col("b_up") <= reach)
+                       & ~F.col("a_branch").eqNullSafe(F.col("b_branch"))))
+        first = Window.partitionBy("tree_id").orderBy("a_okey", "b_okey")
+        kept = cut_lineage(cand.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= m + 1)
+                           .where(F.col("rn") + F.col("found") <= m + 1)
+                           .select("tree_id", (F.col("rn") + F.col("found") - 1).cast("bigint").alias("pair_idx"),
+                                   "a_node_id", "b_node_id"))
+        rounds.append(kept)
+        new = kept.groupBy("tree_id").agg(F.count("*").alias("n_new"))
+        lo, width = lo + width, 2 * width
+        pending = (pending.join(new, "tree_id", "left")
+                   .select("tree_id", "n_starts", (F.col("found") + F.coalesce("n_new", F.lit(0))).alias("found"))
+                   .where((F.col("found") <= m) & (F.col("n_starts") > lo)))
     if not rounds:
-        return leaves.select("tree_id", F.lit(0).cast("bigint").alias("pair_idx"),
-                             *[F.col(f).alias(f"a_{f}") for f in PAIR_FIELDS],
-                             *[F.col(f).alias(f"b_{f}") for f in PAIR_FIELDS]).where(F.lit(False))
-    allc = reduce(DataFrame.unionByName, rounds)
-    w = Window.partitionBy("tree_id").orderBy("a_okey", "b_okey")
-    return (allc.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= m + 1)
-            .select("tree_id", (F.col("rn") - 1).cast("bigint").alias("pair_idx"), *out_cols))
+        rounds = [leaves.where(F.lit(False)).select("tree_id", F.lit(0).cast("bigint").alias("pair_idx"),
+                                                    F.col("node_id").alias("a_node_id"), F.col("node_id").alias("b_node_id"))]
+    pairs = reduce(DataFrame.unionByName, rounds)
+    for side in ("a", "b"):
+        pairs = pairs.join(leaves.select("tree_id", *[F.col(f).alias(f"{side}_{f}") for f in PAIR_FIELDS]),
+                           ["tree_id", f"{side}_node_id"])
+    return pairs.select("tree_id", "pair_idx", *[f"a_{f}" for f in PAIR_FIELDS], *[f"b_{f}" for f in PAIR_FIELDS])
 
 
 # ------------------------------------------------------------ E2-E4 contexts

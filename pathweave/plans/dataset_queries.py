@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..config import DatasetConfig
-from ..functions.text import format_sample, parse_raw_line, raw_line
+from ..functions.text import format_sample, raw_line
 from ..functions.tokens import PAD, UNK
 from ..operators import dataset as D
 from ..operators import vocab as V
-from ..session import table
-from ..sources.c2s import parse_dataset_lines
+from ..session import ensure_checkpoint_dir, table
+from ..sources.c2s import first_raw_samples, parse_dataset_lines, read_raw_samples
 from .registry import register
 from .sql_ot import ot_pairs_sql, tok_sql
 from .tree_queries import ot_samples
@@ -23,7 +25,7 @@ def _sql_split(ratio: float = 0.7) -> str:
     tr = f"CAST(floor(n * {ratio}) AS BIGINT)"
     te = f"(n - {tr}) // 2"
     return (f"CASE WHEN sample_id < {tr} THEN 'train' WHEN sample_id < {tr} + {te} THEN 'test' "
-            f"WHEN sample_id < {tr} + 2 * ({te}) THEN 'val' END")
+            f"ELSE 'val' END")
 
 
 BASE_SQL = f"""WITH {ot_pairs_sql('random', 100)},
@@ -120,26 +122,29 @@ FROM g JOIN orders o ON o.o_orderkey = g.tree_id"""
 
 
 def _raw_parts(spark, sf):
-    """Raw sample lines, with the order status as their 'raw file', in two parts (as written by separate miners)."""
+    """Two folders of raw text files as separate miners write them, with the order status in their paths."""
     samples, _ = ot_samples(spark, sf)
     status = table(spark, sf, "orders").select(F.col("o_orderkey").alias("tree_id"),
                                                F.col("o_orderstatus").alias("raw_file"))
-    lines = samples.join(status, "tree_id").select(
-        "raw_file", raw_line("file", "line", "target", "contexts").alias("value"))
-    lines = V.materialize(lines)
+    lines = V.materialize(samples.join(status, "tree_id").select(
+        "raw_file", raw_line("file", "line", "target", "contexts").alias("value")))
     part = F.pmod(F.xxhash64("raw_file"), F.lit(2))      # every status, null too, is in one of them
-    return [lines.where(part == i) for i in (0, 1)]
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pw-raw-{uuid.uuid4().hex}"
+    for i in (0, 1):
+        lines.where(part == i).write.partitionBy("raw_file").text(f"{folder}/{i}")
+    return [f"{folder}/0", f"{folder}/1"]
 
 
 @register("merge_raw", MERGE_SQL)
 def q_merge_raw(spark, sf):
-    merged = D.merge_raw(*_raw_parts(spark, sf))
-    return merged.select("raw_file", *parse_raw_line("value"))
+    merged = D.merge_raw(*[read_raw_samples(spark, p) for p in _raw_parts(spark, sf)])
+    name = F.regexp_extract("source", "/raw_file=([^/]*)/", 1)
+    return merged.select(F.when(name != "__HIVE_DEFAULT_PARTITION__", name).alias("raw_file"), "file", "line", "sample")
 
 
 @register("raw_parse", MERGE_SQL.replace("SELECT o.o_orderstatus AS raw_file, ", "SELECT "))
 def q_raw_parse(spark, sf):
-    return D.merge_raw(*_raw_parts(spark, sf)).select(*parse_raw_line("value"))
+    return first_raw_samples(read_raw_samples(spark, *_raw_parts(spark, sf))).select("file", "line", "sample")
 
 
 # ----------------------------------------------------------------- F1-F3 / H1 / F7

@@ -19,7 +19,7 @@ def tok_sql(label: str, reserved: str = "FALSE", max_sub: int = 5) -> str:
 
 
 LI_SQL = """
-li AS (
+li AS MATERIALIZED (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_returnflag, p.p_name,
          'l' || concat_ws(':', l.l_linenumber, l.l_partkey, l.l_suppkey,
                           CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS lid
@@ -29,7 +29,7 @@ li AS (
 # every node: tree_id, node_id, label, depth, up (labels from the parent to the root), lid, grp/sort keys, degree
 OT_NODES_SQL = LI_SQL + """,
 ot_nl AS (SELECT l_orderkey AS tree_id, count(*) AS n_lines FROM li GROUP BY l_orderkey),
-ot_nodes AS (
+ot_nodes AS MATERIALIZED (
   SELECT o_orderkey AS tree_id, 'o' AS node_id, 'ORDER' AS label, TRUE AS res, 0 AS depth,
          []::VARCHAR[] AS up, NULL::VARCHAR AS lid, -1 AS grp, NULL::INT AS ln, NULL::BIGINT AS pk,
          NULL::BIGINT AS sk, NULL::DOUBLE AS ep, 2 + coalesce(n.n_lines, 0) AS degree
@@ -55,7 +55,7 @@ def order_by(leaf_order: str, seed: int = 42) -> str:
 def ot_ranked_sql(leaf_order: str, seed: int = 42, leaf_filter: str = "degree = 1") -> str:
     return OT_NODES_SQL + f""",
 ot_leaves AS (SELECT * FROM ot_nodes WHERE {leaf_filter}),
-ot_ranked AS (
+ot_ranked AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY tree_id ORDER BY {order_by(leaf_order, seed)}) - 1 AS rk,
          count(*) OVER (PARTITION BY tree_id) AS t
   FROM ot_leaves
@@ -86,7 +86,7 @@ ot_pick AS (
   SELECT a.tree_id, {idx} AS pair_idx, a.label AS a_label, b.label AS b_label, a.res AS a_res, b.res AS b_res,
          {path} AS p
   FROM ot_ranked a JOIN ot_ranked b ON a.tree_id = b.tree_id AND a.rk < b.rk
-  WHERE {idx} <= {max_contexts}
+  WHERE a.rk <= {max_contexts} AND b.rk <= {max_contexts} + 1 AND {idx} <= {max_contexts}
 )"""
     return ot_ranked_sql(leaf_order, seed, leaf_filter) + ",\n" + pick + f""",
 ot_ctx AS (

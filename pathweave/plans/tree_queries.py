@@ -110,6 +110,12 @@ def q_depth_limit(spark, sf):
     return flat_contexts(T.mine_contexts(order_tree_nodes(spark, sf), FIXED.with_(max_ast_depth=1)))
 
 
+@register("depth_limit_terminals", f"""WITH {ot_pairs_sql('random', 100, leaf_filter="depth <= 2 AND (degree = 1 OR depth = 2)")}
+SELECT {CTX_COLS} FROM ot_ctx""")
+def q_depth_limit_terminals(spark, sf):
+    return flat_contexts(T.mine_contexts(None, RANDOM.with_(max_ast_depth=1), order_tree_terminals(spark, sf)))
+
+
 # ---------------------------------------------------------------------- B9
 @register("path_length_filter", f"""WITH {ot_pairs_sql('fixed', 100, path_limit=5)}
 SELECT {CTX_COLS} FROM ot_ctx""")
@@ -117,6 +123,12 @@ def q_path_length_filter(spark, sf):
     return flat_contexts(T.mine_contexts(None, FIXED.with_(max_path_len=5), order_tree_terminals(spark, sf)))
 
 
+@register("doc_path_length", f"""WITH {dt_ctx_sql(five_nodes=True)}
+SELECT {CTX_COLS} FROM dt_ctx""")
+def q_doc_path_length(spark, sf):
+    return flat_contexts(T.mine_contexts(None, RANDOM.with_(max_path_len=5), document_terminals(spark, sf)))
+
+
 # ---------------------------------------------------------------------- E6 / J3
 SAMPLES_SQL = f"""WITH {ot_pairs_sql('random', 100)},
 s AS (

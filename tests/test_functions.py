@@ -97,16 +97,19 @@ def test_pair_generation_matches_combinations(spark, m):
 
 
 def test_split_sizes():
-    assert D.split_sizes(1001, DatasetConfig()) == (700, 150, 150)
+    assert D.split_sizes(1001, DatasetConfig(keep_remainder=False)) == (700, 150, 150)
+    assert D.split_sizes(1001, DatasetConfig()) == (700, 150, 151)
     assert D.split_sizes(1001, DatasetConfig(keep_remainder=True)) == (700, 150, 151)
     assert D.split_sizes(15000, DatasetConfig()) == (10500, 2250, 2250)
 
 
 def test_split_is_disjoint_and_sized(spark):
     df = spark.range(1001).select(F.col("id").cast("string").alias("file"), F.lit(1).cast("bigint").alias("line"))
-    out = D.shuffle_split(df, DatasetConfig())
+    out = D.shuffle_split(df, DatasetConfig(keep_remainder=False))
     counts = {r["split"]: r["count"] for r in out.groupBy("split").count().collect()}
     assert counts == {"train": 700, "test": 150, "val": 150}
+    kept = D.shuffle_split(df, DatasetConfig()).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in kept} == {"train": 700, "test": 150, "val": 151}
     ids = [r["sample_id"] for r in out.collect()]
     assert sorted(ids) == list(range(1000))
 
