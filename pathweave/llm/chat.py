@@ -2,7 +2,7 @@
 
 A turn becomes ``<|turn|>role<|text|>content<|end|>``.  Its content is the
 visited parts in order: text with every control string broken by a backslash
-(and backslashes doubled, so that the escape can be undone), and one
+(and backslashes doubled, so that the escape can be undone; text parts side by side are one text), and one
 placeholder per image, audio or document part, whose reference and expanded
 token count go to ``attachments``.
 
@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks, cut, let, scan
+
 PARTS = ("array<struct<kind:string,text:string,ref:string,width:bigint,height:bigint,"
          "seconds:double,pages:bigint>>")
 
@@ -82,8 +84,21 @@ def visited(parts: Column, cfg: ChatConfig) -> Column:
     """struct(content, attachments) of a turn's parts, in order; parts of unknown kinds count as text."""
     marks = F.create_map(*[F.lit(x) for pair in cfg.placeholders for x in pair])
     there = F.filter(F.coalesce(parts, F.array().cast(PARTS)), lambda p: p.isNotNull())
-    content = F.array_join(F.transform(there, lambda p: F.coalesce(
-        marks[F.coalesce(p["kind"], F.lit("text"))], escape(F.coalesce(p["text"], F.lit("")), cfg))), "")
+    mark = lambda p: marks[F.coalesce(p["kind"], F.lit("text"))]
+
+    def joined(there):
+        """Texts side by side are escaped as one, so that no control string comes about where they meet."""
+        at = F.filter(F.transform(there, lambda p, i: F.when(mark(p).isNotNull(), i)), lambda i: i.isNotNull())
+        ends = F.concat(F.array(F.lit(-1)), at, F.array(F.size(there)))
+
+        def run(ends, j):
+            first, last = F.get(ends, j), F.get(ends, j + 1)
+            texts = F.transform(F.slice(there, first + 2, last - first - 1), lambda p: F.coalesce(p["text"], F.lit("")))
+            return F.concat(escape(F.array_join(texts, ""), cfg), F.coalesce(mark(F.get(there, last)), F.lit("")))
+        return let(ends, lambda e: F.array_join(F.transform(
+            F.sequence(F.lit(0), F.size(e) - 2), lambda j: run(e, j)), ""))
+
+    content = let(there, joined)
     media = F.filter(there, lambda p: p["kind"].isin(*[k for k, _ in cfg.placeholders]))
     return F.struct(content.alias("content"), F.transform(media, lambda p: F.struct(
         p["kind"].alias("kind"), p["ref"].alias("ref"), expanded_tokens(p, cfg).alias("tokens"))).alias("attachments"))
@@ -100,19 +115,17 @@ def format_conversations(turns: DataFrame, cfg: ChatConfig = ChatConfig()) -> Da
             "turn", "role", F.concat(F.lit(cfg.turn), escape(F.col("role"), cfg), F.lit(cfg.text)).alias("head"),
             F.col("v.content").alias("content"), F.col("v.attachments").alias("attachments")).alias("t"))
     segments = rows.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("loss"))
-
-    def step(a, t):
-        start = a["at"] + F.length(t["head"])
-        stop = start + F.length(t["content"])
-        span = F.struct(start.alias("start"), stop.alias("end"))
-        return F.struct((stop + len(cfg.end)).alias("at"),
-                        F.when(t["role"].isin(*cfg.trained), F.array_append(a["loss"], span)).otherwise(a["loss"]).alias("loss"))
+    span = "struct<start:bigint,end:bigint>"
+    begin = lambda at, t: at + F.length(t["head"])
+    stop = lambda at, t: begin(at, t) + F.length(t["content"])
+    loss = scan(F.col("ts"), F.lit(0).cast("long"), span, lambda at, t: stop(at, t) + len(cfg.end),
+                lambda at, t: F.when(t["role"].isin(*cfg.trained), F.array(F.struct(
+                    begin(at, t).alias("start"), stop(at, t).alias("end")))).otherwise(F.array().cast(f"array<{span}>")))
 
     segments = segments.select(
         "conv_id", "block", F.size("ts").cast("long").alias("n"),
         F.array_join(F.transform("ts", lambda t: F.concat(t["head"], t["content"], F.lit(cfg.end))), "").alias("formatted"),
-        F.aggregate("ts", zero, step, lambda a: a["loss"]).alias("loss"),
+        loss.alias("loss"),
         F.flatten(F.transform("ts", lambda t: t["attachments"])).alias("attachments"))
     whole = segments.groupBy("conv_id").agg(
         F.sum("n").alias("n_turns"),
@@ -133,5 +146,7 @@ def read_turns(segments: Column, cfg: ChatConfig = ChatConfig()) -> Column:
 
 def loss_text(segments: Column) -> Column:
     """All text under the loss mask, unescaped."""
-    return F.array_join(F.flatten(F.transform(segments, lambda s: F.transform(s["loss"], lambda p: unescape(
-        s["formatted"].substr((p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")))))), "")
+    def of(s):
+        return let(chunks(s["formatted"]), lambda pieces: F.transform(s["loss"], lambda p: unescape(
+            cut(pieces, p["start"], p["end"] - p["start"]))))
+    return F.array_join(F.flatten(F.transform(segments, of)), "")
