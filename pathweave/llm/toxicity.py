@@ -17,7 +17,8 @@ Defined results: a null or empty text has no match and scores as the curve says
 at zero; rows are independent (ties and repeated rows need no rule); labels of
 a doc_id that occur twice count twice; null labels and null doc_ids are not
 learnt from; with no labels at all, or of one class only, the score is the
-share of toxic labels (0 without any); an empty table gives an empty result.
+share of toxic labels (0 without any), and 0 where no labelled document is there;
+an empty table gives an empty result; a text may be of any length.
 Only doc_id and text are read, and only the text enters a score.
 """
 
@@ -33,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathweave.session import cut_lineage
+
 from .common import release_worker
 
 # Letters of other scripts that look like Latin ones, and digits and signs used in their place.
@@ -190,7 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: FitConfig = FitConfig()) -> Mod
     if not n_toxic or not n_clean:
         return Model({}, flat=float(n_toxic > 0) if rows else 0.0)
     few = F.broadcast(spark.createDataFrame(rows, "doc_id long, toxic int"))     # fit_rows bounds it
-    sample = docs.select("doc_id", "text").join(few, "doc_id").select("text", "toxic")
+    # three passes learn from it, so it is cut once
+    sample = cut_lineage(docs.select("doc_id", "text").join(few, "doc_id").select("text", "toxic"))
 
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
@@ -220,6 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: FitConfig = FitConfig()) -> Mod
         .orderBy(F.desc("clean"), "term").limit(cfg.most_entries).collect()
     model = Model(lexicon, frozenset(tuple(r.term.split(" ", 1)) for r in safe))
     points = np.array([[r.x, r.y, r.toxic] for r in _features(sample, model).collect()])    # at most fit_rows, or their repeats
+    if not len(points):
+        return Model({}, flat=0.0)      # no labelled document is there
     return Model(lexicon, model.exceptions, _curve(points[:, :2], points[:, 2]))
 
 
