@@ -9,7 +9,7 @@ import tempfile
 from collections.abc import Callable, Hashable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathweave.session import cut_lineage
@@ -64,3 +64,52 @@ def release_worker() -> None:
     """Let go of what tasks of other operators left in this Python worker."""
     _KEPT.clear()
     gc.collect()
+
+
+# ---- expressions over arrays and long texts ---------------------------------------------------------------------
+
+BLOCK = 256     # items folded together
+CHUNK = 64      # characters of a piece of a text
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, evaluating ``value`` once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def scan(items: Column, state: Column, kind: str, step: Callable[[Column, Column], Column],
+         take: Callable[[Column, Column], Column]) -> Column:
+    """A left fold that gathers: ``take(state, item)``, an array<``kind``>, of every item, then state = ``step(state, item)``.
+
+    Appending to an array copies it.  Items are folded in blocks, each gathering
+    into a short array of its own, so the work is in proportion to the items.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def block(start, some):
+        return F.aggregate(some, F.struct(start.alias("state"), none.alias("kept")), lambda a, x: F.struct(
+            step(a["state"], x).alias("state"), F.concat(a["kept"], take(a["state"], x)).alias("kept")))
+
+    def blocks(all_items):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / BLOCK).cast("int")),
+                           lambda b: F.slice(all_items, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def whole(all_items):
+        return F.aggregate(blocks(all_items), F.struct(state.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("kept")),
+                           lambda a, some: let(block(a["state"], some), lambda r: F.struct(
+                               r["state"].alias("state"), F.array_append(a["kept"], r["kept"]).alias("kept"))),
+                           lambda a: F.flatten(a["kept"]))
+    return let(items, lambda v: F.when(F.size(v) > 0, whole(v)).otherwise(none))
+
+
+def chunks(text: Column) -> Column:
+    """A text in pieces of ``CHUNK`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def cut(pieces: Column, start: Column, length: Column) -> Column:
+    """Code points start .. start + length - 1 of a text in pieces, walking over no more of it than that."""
+    first = F.floor(start / CHUNK).cast("int")
+    last = F.floor((start + length - 1) / CHUNK).cast("int")
+    near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.when(length > 0, near.substr((start - F.lit(CHUNK) * first + 1).cast("int"), length.cast("int"))).otherwise("")

@@ -7,7 +7,8 @@ them gives each match its code-point offsets.  The context of a confirmed span
 is cut from the whole text, so earlier spans do not hide a label from later ones.
 
 Defined results: a null or empty text has no spans; rows are independent, so
-ties, repeated rows and empty tables need no rule; other columns are untouched.
+ties, repeated rows and empty tables need no rule; a text may be of any length;
+other columns are untouched.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks, cut, let, scan
+
 # Possessive loops and the look-behinds give the same leftmost matches as the
 # plain patterns (each run of characters is tried once, from its start or from
 # the end of the previous match), but stay linear and off the regex stack.
@@ -123,28 +126,27 @@ class PiiConfig:
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
+FOUND = "struct<start:bigint,value:string>"
+
+
 def _apart(found: Column) -> Column:
     """Without those that start inside the one kept before."""
-    kind = "array<struct<start:bigint,value:string>>"
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("kept"))
-    return F.aggregate(found, zero, lambda acc, x: F.when(x["start"] < acc["at"], acc).otherwise(F.struct(
-        (x["start"] + F.length(x["value"])).alias("at"), F.array_append(acc["kept"], x).alias("kept"))), lambda acc: acc["kept"])
-
-
-def kind_spans(text: Column, kind: Kind, cfg: PiiConfig) -> Column:
-    """Confirmed spans of one kind in a text: struct(kind, start, end, score), by start."""
-    pieces = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"),
-                          F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hit"),
-                          F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.within else 0)).alias("value"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,value:string>>").alias("found"))
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        one = F.struct(start.alias("start"), x["value"].alias("value"))
-        return F.struct((start + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-                        F.when(x["hit"].isNull(), acc["found"]).otherwise(F.array_append(acc["found"], one)).alias("found"))
-
-    found = F.aggregate(pieces, zero, step, lambda acc: acc["found"])
+    free = lambda at, x: x["start"] >= at
+    return scan(found, F.lit(0).cast("long"), FOUND,
+                lambda at, x: F.when(free(at, x), x["start"] + F.length(x["value"])).otherwise(at),
+                lambda at, x: F.when(free(at, x), F.array(x)).otherwise(F.array().cast(f"array<{FOUND}>")))
+
+
+def kind_spans(text: Column, pieces: Column, kind: Kind, cfg: PiiConfig) -> Column:
+    """Confirmed spans of one kind in a text, given also in pieces (``chunks``): struct(kind, start, end, score), by start."""
+    parts = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"),
+                         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hit"),
+                         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.within else 0)).alias("value"))
+    start = lambda at, x: at + F.length(x["gap"])
+    found = scan(parts, F.lit(0).cast("long"), FOUND,
+                 lambda at, x: start(at, x) + F.coalesce(F.length(x["hit"]), F.lit(0)),
+                 lambda at, x: F.when(x["hit"].isNull(), F.array().cast(f"array<{FOUND}>")).otherwise(
+                     F.array(F.struct(start(at, x).alias("start"), x["value"].alias("value")))))
     if kind.within:
         found = _apart(F.filter(F.transform(found, lambda x: F.struct(x["start"].alias("start"), kind.within(x["value"]).alias("value"))),
                                 lambda x: x["value"].isNotNull()))
@@ -152,8 +154,8 @@ def kind_spans(text: Column, kind: Kind, cfg: PiiConfig) -> Column:
     def near(x):
         if not kind.context:
             return F.lit(False)
-        start, end, n = x["start"].cast("int"), (x["start"] + F.length(x["value"])).cast("int"), F.lit(cfg.context_chars)
-        around = text.substr(F.greatest(start - n, F.lit(0)) + 1, F.least(start, n)), text.substr(end + 1, n)
+        start, end, n = x["start"], x["start"] + F.length(x["value"]), F.lit(cfg.context_chars).cast("long")
+        around = cut(pieces, F.greatest(start - n, F.lit(0)), F.least(start, n)), cut(pieces, end, n)
         return around[0].rlike(rf"(?i)\b(?:{kind.context})") | around[1].rlike(rf"(?i)\b(?:{kind.context})")
 
     scored = F.transform(F.filter(found, lambda x: kind.valid(x["value"])), lambda x: F.struct(
@@ -168,9 +170,13 @@ def kind_spans(text: Column, kind: Kind, cfg: PiiConfig) -> Column:
 def find(docs: DataFrame, cfg: PiiConfig = PiiConfig(), text: str = "text", out: str = "spans") -> DataFrame:
     """Add ``out``: all spans of a text by kind as configured, then start (code points, end exclusive)."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    per_kind = docs.withColumns({f"__pw_{k.name}": kind_spans(whole, k, cfg) for k in cfg.kinds})
+    seen = F.lit(False)
+    for k in cfg.kinds:
+        seen = seen | whole.rlike(k.seen)
+    cut_up = docs.withColumn("__pw_pieces", F.when(seen, chunks(whole)))
+    per_kind = cut_up.withColumns({f"__pw_{k.name}": kind_spans(whole, F.col("__pw_pieces"), k, cfg) for k in cfg.kinds})
     return per_kind.withColumn(out, F.concat(*[F.col(f"__pw_{k.name}") for k in cfg.kinds])) \
-        .drop(*[f"__pw_{k.name}" for k in cfg.kinds])
+        .drop("__pw_pieces", *[f"__pw_{k.name}" for k in cfg.kinds])
 
 
 def span_text(spans: Column) -> Column:
@@ -182,17 +188,16 @@ def masked(text: Column, spans: Column) -> Column:
     """The text with every run of overlapping spans replaced by the first span's ``[KIND]``."""
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                               s["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, s):
-        gap = text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(s["start"] < acc["at"], acc["out"]).otherwise(
-                            F.concat(acc["out"], F.array(gap, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).alias("out"))
 
-    rest = F.aggregate(order, zero, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), text.substr((acc["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(rest)
+    def rebuilt(pieces):
+        # a last span of no kind after the text takes what follows the others
+        end = F.struct(F.length(text).cast("long").alias("start"), F.length(text).cast("long").alias("end"), F.lit("").alias("kind"))
+        kept = scan(F.array_append(order, end), F.lit(0).cast("long"), "string", lambda at, s: F.greatest(at, s["end"]),
+                    lambda at, s: F.when((s["start"] < at) & (s["kind"] != ""), F.array().cast("array<string>")).otherwise(
+                        F.array(cut(pieces, at, s["start"] - at), F.when(s["kind"] == "", "").otherwise(
+                            F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))))
+        return F.array_join(kept, "")
+    return F.when(F.size(spans) == 0, text).otherwise(let(chunks(text), rebuilt))
 
 
 def redact(docs: DataFrame, cfg: PiiConfig = PiiConfig()) -> DataFrame:
