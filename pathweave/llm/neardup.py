@@ -4,13 +4,14 @@ Words are runs of characters other than the six ASCII white spaces, ASCII
 letters in lower case; a shingle is ``words`` of them in a row (a text with fewer words
 has one shingle of them all).  A shingle weighs tf * idf, with
 idf = ln(1 + N / max(df, T)) / ln(1 + N / T): df counts documents over the whole
-corpus, and T is the smallest df that at most ``heavy`` shingles can reach (the
-number of shingle occurrences divided by ``heavy``, ``least_df`` at least).  So
-ordinary shingles weigh their tf, widespread passages less, and the table of
-shingles that weigh less has a proven size whatever the corpus.
+corpus of N rows, and T is the share ``common`` of them.  N / T is the same in every corpus, so
+a weight depends on the share of documents that hold the shingle and not on
+their number; ordinary shingles weigh their tf, widespread passages less.  A document
+of s shingles adds s to all df together, so at most (mean s) / ``common`` shingles reach T,
+however many documents there are: that bounds the table of shingles that weigh less.
 
 1. df: tasks count their distinct shingles (48 bits of the hash) and shuffle
-   them packed by hash range; ranges are merged and shingles of df >= T kept.
+   them packed by hash range; ranges are merged and shingles of df > T kept.
 2. Sketch: each distinct text gets bands * rows samples by improved consistent
    weighted sampling (Ioffe): with r, c ~ Gamma(2, 1) and b ~ U(0, 1) of (shingle,
    sample), t = floor(ln w / r + b) and the sample is the shingle and t of the
@@ -32,8 +33,8 @@ shingles that weigh less has a proven size whatever the corpus.
    ``threshold`` or more.
 5. Classes: connected components by label propagation with pointer jumping.
 
-Equal texts share one node and are never paired.  Nothing but the heavy
-shingles (at most ``heavy`` numbers) and counts reaches the driver.
+Equal texts share one node and are never paired.  Nothing but the common
+shingles (bounded as said above) and counts reaches the driver.
 
 Defined results: a null text is an empty one; texts without words link only
 with equal texts; a class is named by its smallest doc_id (null ids last);
@@ -60,12 +61,11 @@ class NearConfig:
     threshold: float = 0.8
     bands: int = 20
     rows: int = 4                    # chance to miss a pair at 0.8: (1 - 0.8^4)^20 = 3e-5
-    heavy: int = 200_000
-    least_df: int = 16
+    common: float = 1 / 2000         # share of the rows above which a shingle weighs less
     orders: int = 4                  # different random orders over the bands in the first round; then one a band
     rounds: int = 3                  # of centres, before prefixes take over
     width: float = 1.03              # ratio of the weights in which texts are held to have one weight in prefixes
-    chunk_chars: int = 2_000_000     # text hashed at once
+    chunk_chars: int = 1_000_000     # text hashed at once
     block_shingles: int = 1_000_000  # shingles counted before a task sends them
     ranges: int = 8                  # hash ranges per shuffle partition; one range is merged in memory
 
@@ -138,16 +138,16 @@ def shingles(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return rows[first], hashes[first], np.diff(np.append(first, len(rows)))
 
 
-def _chunks(texts: list[bytes], most: int):
-    """(from, to) of runs of texts of about ``most`` bytes."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
+def _chunks(sizes: list[int], most: int):
+    """(from, to) of runs of items that come to about ``most``."""
+    at, total = 0, 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= most:
             yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+            at, total = i + 1, 0
+    if at < len(sizes):
+        yield at, len(sizes)
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -181,8 +181,8 @@ def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def document_frequencies(docs: DataFrame, cfg: NearConfig) -> DataFrame:
-    """(key, df) of shingles in ``least_df`` documents or more, and one row per range with a null key: its occurrences."""
+def document_frequencies(docs: DataFrame, least: float, cfg: NearConfig) -> DataFrame:
+    """(key, df) of shingles in more than ``least`` documents."""
     ranges = cfg.ranges * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches):
@@ -205,7 +205,7 @@ def document_frequencies(docs: DataFrame, cfg: NearConfig) -> DataFrame:
                                               ["part", "keys", "counts"])
         for b in batches:
             texts = _bytes(b.column("text"))
-            for x, y in _chunks(texts, cfg.chunk_chars):
+            for x, y in _chunks([*map(len, texts)], cfg.chunk_chars):
                 _, hashes, _ = shingles(texts[x:y], cfg.words)
                 held.append(hashes >> _LOW)
                 size += len(hashes)
@@ -226,24 +226,21 @@ def document_frequencies(docs: DataFrame, cfg: NearConfig) -> DataFrame:
             keys.append(np.cumsum(planes.view("<u8").ravel(), dtype=np.uint64))
             counts.append(n)
         key, n = _counted(keys, counts)
-        often = n >= cfg.least_df
-        return pa.table({"key": pa.concat_arrays([pa.array(key[often].astype(np.int64)), pa.array([None], pa.int64())]),
-                         "df": pa.array(np.append(n[often], n.sum()), pa.int64())})
+        often = n > least
+        return pa.table({"key": pa.array(key[often].astype(np.int64)), "df": pa.array(n[often], pa.int64())})
 
     return docs.select("text").mapInArrow(count, "part int, keys binary, counts binary") \
         .groupBy("part").applyInArrow(merge, "key long, df long")
 
 
 def fit_weights(docs: DataFrame, cfg: NearConfig = NearConfig()) -> Weights:
-    found = cut_lineage(document_frequencies(docs.select(F.col("text").cast("string").alias("text")), cfg))
-    occurrences = found.where("key IS NULL").agg(F.sum("df")).first()[0] or 0
     n = docs.count()
-    least = max(cfg.least_df, -(-occurrences // cfg.heavy))
-    # every one of these occurs ``least`` times or more, so there are at most ``heavy``
-    rows = found.where(F.col("key").isNotNull() & (F.col("df") > least)).select("key", "df").toArrow()
+    least = n * cfg.common
+    found = document_frequencies(docs.select(F.col("text").cast("string").alias("text")), least, cfg)
+    rows = found.toArrow()      # at most (mean number of a text's shingles) / common
     key, df = (rows.column(c).to_numpy().astype(np.uint64) for c in ("key", "df"))
     order = np.argsort(key)
-    idf = np.log1p(n / df[order].astype(float)) / np.log1p(n / least)
+    idf = np.log1p(n / df[order].astype(float)) / np.log1p(1 / cfg.common)
     return Weights(key[order], idf)
 
 
@@ -301,14 +298,14 @@ def node(text: Column) -> Column:
 
 def sketches(docs: DataFrame, weights: Weights, cfg: NearConfig) -> DataFrame:
     """(doc_id, node, bands array<long>) of every row; bands is empty for texts without words."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)     # at most ``heavy`` keys
+    shared = docs.sparkSession.sparkContext.broadcast(weights)     # of the size that ``common`` allows
 
     def run(batches):
         sampler, w = Sampler(cfg), shared.value
         for batch in batches:
             texts = _bytes(batch.column("text"))
             out = []
-            for x, y in _chunks(texts, cfg.chunk_chars):
+            for x, y in _chunks([*map(len, texts)], cfg.chunk_chars):
                 rows, hashes, tf = shingles(texts[x:y], cfg.words)
                 out.append(sampler.bands(rows, hashes, w.of(hashes, tf), y - x))
             all_bands = np.concatenate(out) if out else np.zeros((0, cfg.bands), np.uint64)
@@ -363,8 +360,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, cfg: NearConfig) -> D
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 first, second = ([unpack.decompress(x) for x in part.column(c).to_pylist()] for c in ("ta", "tb"))
-                near = similarity(first, second, w, cfg.words) >= cfg.threshold - 1e-9
-                yield part.select(["a", "b"]).filter(pa.array(near))
+                for x, y in _chunks([len(f) + len(s) for f, s in zip(first, second)], cfg.chunk_chars):
+                    near = similarity(first[x:y], second[x:y], w, cfg.words) >= cfg.threshold - 1e-9
+                    yield part.slice(x, y - x).select(["a", "b"]).filter(pa.array(near))
     both = pairs.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("tb")), "b") \
         .join(texts.select(F.col("node").alias("a"), F.col("packed").alias("ta")), "a")
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
@@ -421,7 +419,7 @@ def _prefix_pairs(members: DataFrame, texts: DataFrame, weights, cfg: NearConfig
         unpack, w, c = zstandard.ZstdDecompressor(), weights.value, common.value
         for batch in batches:
             raw = [unpack.decompress(x) for x in batch.column("packed").to_pylist()]
-            for x, y in _chunks(raw, cfg.chunk_chars):
+            for x, y in _chunks([*map(len, raw)], cfg.chunk_chars):
                 rows, hashes, rest, total = prefixes(raw[x:y], w, c, cfg)
                 at = pa.array(rows + x)
                 yield pa.RecordBatch.from_arrays(

@@ -25,8 +25,7 @@ def _classes(texts, cfg):
     """Connected components of weighted Jaccard >= threshold, by all pairs."""
     bags = [_bag(t) for t in texts]
     df = Counter(s for b in bags for s in b)
-    occurrences = sum(len(b) for b in bags)
-    least = max(cfg.least_df, -(-occurrences // cfg.heavy))
+    least = len(texts) * cfg.common
     weigh = [{s: c * (np.log1p(len(texts) / max(df[s], least)) / np.log1p(len(texts) / least)) for s, c in b.items()} for b in bags]
     root = list(range(len(texts)))
 
@@ -42,7 +41,7 @@ def _classes(texts, cfg):
     for i, t in enumerate(texts):
         j = seen.setdefault(t or "", i)
         root[find(max(i, j))] = find(min(i, j))
-    pairs = {(i, j) for ids in by.values() if len(ids) < 200 for k, i in enumerate(ids) for j in ids[k + 1:]}
+    pairs = {(i, j) for ids in by.values() for k, i in enumerate(ids) for j in ids[k + 1:]}
     sims = {}
     for i, j in pairs:
         low = sum(min(weigh[i][s], weigh[j].get(s, 0)) for s in weigh[i])
@@ -98,7 +97,7 @@ def test_weighted_jaccard_and_sampling(texts):
 
 
 def test_classes_match_all_pairs(spark, texts, tmp_path):
-    cfg = neardup.NearConfig(heavy=2000, least_df=4)
+    cfg = neardup.NearConfig(common=1 / 50)
     docs = brute.documents(spark, texts).repartition(5)
     got = {r.doc_id: r for r in neardup.classes(docs, cfg).collect()}
     want, sims = _classes(texts, cfg)
@@ -153,7 +152,7 @@ def test_no_pair_of_a_crowded_bucket_is_left_unmet(spark):
     rng = random.Random(21)
     words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
     passage = words(170)
-    cfg = neardup.NearConfig(least_df=1000)     # the passage weighs as much as other text, as in a far larger corpus
+    cfg = neardup.NearConfig(common=1.0)     # the passage weighs as much as other text, as in a far larger corpus
     texts, planted = [], []
     for _ in range(250):
         texts.append(" ".join(passage + words(rng.randrange(26, 55))))
