@@ -48,7 +48,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document and their places in sequences."""
-    return packing.pack(docs)
+    # workers hold what earlier stages left, so this keeps less than the query of its own
+    return packing.pack(docs, packing.PackConfig(cache_chunks=150_000))
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import shutil
@@ -64,6 +65,14 @@ def release_worker() -> None:
     """Let go of what tasks of other operators left in this Python worker."""
     _KEPT.clear()
     gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can; a worker waits for its next task without it."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 # ---- expressions over arrays and long texts ---------------------------------------------------------------------

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from pathweave.session import cut_lineage
 
-from .common import keep_marked, release_worker
+from .common import give_back, keep_marked, release_worker
 
 
 @dataclass(frozen=True)
@@ -214,6 +214,8 @@ def document_frequencies(docs: DataFrame, least: float, cfg: NearConfig) -> Data
                     held, size = [], 0
         if size:
             yield send()
+        held = []
+        give_back()
 
     def merge(table: pa.Table) -> pa.Table:
         import zstandard
@@ -313,6 +315,7 @@ def sketches(docs: DataFrame, weights: Weights, cfg: NearConfig) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(there)]), pa.int32()),
                                              pa.array(all_bands[there > 0].ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), lists], ["doc_id", "node", "bands"])
+        give_back()
 
     return docs.select("doc_id", node(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, "doc_id long, node binary, bands array<bigint>")
@@ -363,6 +366,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, cfg: NearConfig) -> D
                 for x, y in _chunks([len(f) + len(s) for f, s in zip(first, second)], cfg.chunk_chars):
                     near = similarity(first[x:y], second[x:y], w, cfg.words) >= cfg.threshold - 1e-9
                     yield part.slice(x, y - x).select(["a", "b"]).filter(pa.array(near))
+        give_back()
     both = pairs.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("tb")), "b") \
         .join(texts.select(F.col("node").alias("a"), F.col("packed").alias("ta")), "a")
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pathweave.session import cut_lineage
 
-from .common import release_worker
+from .common import give_back, release_worker
 
 # Letters of other scripts that look like Latin ones, and digits and signs used in their place.
 HOMOGLYPHS = dict(zip("абвгеёзікмнопрстухһјѕԁԛԝαβγεηικνορτυχωı", "abbreezikmhonpctyxhjsdqwabyenikvoptuxwi"))
@@ -154,6 +154,7 @@ def _starts(folded: str, cfg: FitConfig) -> set[str]:
 def _counted(sample: DataFrame, terms_of) -> DataFrame:
     """(term, toxic, clean): rows of each label that hold a term; counted within a task, then added up."""
     def run(batches):
+        release_worker()
         seen = (Counter(), Counter())
         for b in batches:
             for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
@@ -163,6 +164,8 @@ def _counted(sample: DataFrame, terms_of) -> DataFrame:
             some = terms[at:at + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([seen[1][x] for x in some], pa.int64()),
                                               pa.array([seen[0][x] for x in some], pa.int64())], ["term", "toxic", "clean"])
+        seen, terms = None, None
+        release_worker()
     return sample.mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
@@ -249,6 +252,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         for b in batches:
             s = pa.array([m.score(t or "") for t in b.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, s], [*there, name])
+        give_back()
 
     schema = docs.select(*there).schema
     return docs.select(*there).mapInArrow(run, type(schema)(list(schema.fields)).add(name, "double"))
