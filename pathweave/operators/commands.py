@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shell import normalize_path, resolve_path, shell_words
 from ..functions.tokens import is_object_file
 
 # fixed values: flags handled before the file test
@@ -24,17 +25,16 @@ def clean_compile_args(commands: DataFrame, known_paths: DataFrame, key: str = "
     existing files or folders and object files; other arguments keep their order.
 
     ``known_paths``: one column ``path`` (what exists on the file system).  With
-    a column ``directory``, a relative argument is looked up under it.
+    a column ``directory``, a relative argument is looked up under it.  Both
+    sides are compared without ``.``, ``..`` and repeated slashes.
     """
     where = F.col("directory") if "directory" in commands.columns else F.lit(None).cast("string")
     exploded = commands.select(key, where.alias("directory"), F.posexplode(F.slice(args_col, 2, F.greatest(F.size(args_col) - 1, F.lit(0))))
                                .alias("pos", "arg"))
-    relative = F.col("directory").isNotNull() & ~F.col("arg").startswith("/")
-    under = F.concat(F.regexp_replace("directory", "/+$", ""), F.lit("/"), F.regexp_replace("arg", r"^(\./+)+", ""))
-    exploded = exploded.select(key, "pos", "arg", F.when(relative, under).otherwise(F.col("arg")).alias("at"))
+    exploded = exploded.select(key, "pos", "arg", resolve_path("directory", "arg").alias("at"))
     flags = exploded.where(F.col("arg").isin(XCLANG, COMPILE_ONLY, OUTPUT))
     others = exploded.where(~F.col("arg").isin(XCLANG, COMPILE_ONLY, OUTPUT))
-    paths = known_paths.select(F.col("path").alias("at"), F.lit(True).alias("exists")).distinct()
+    paths = known_paths.where(F.col("path") != "").select(normalize_path("path").alias("at"), F.lit(True).alias("exists")).distinct()
     looked = others.join(paths, "at", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
     allargs = looked.unionByName(flags.withColumn("exists", F.lit(False)))
     grouped = allargs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "arg", "exists"))).alias("a"))
@@ -52,6 +52,14 @@ def clean_compile_args(commands: DataFrame, known_paths: DataFrame, key: str = "
         key, F.coalesce("args", F.array().cast("array<string>")).alias("args"))
 
 
+def parse_commands(commands: DataFrame) -> DataFrame:
+    """Compile database rows with ``arguments`` (the words of ``command`` where they are missing)
+    and ``path``, the source file as seen from the row's directory."""
+    return commands.withColumns({
+        "arguments": F.coalesce("arguments", shell_words("command")),
+        "path": resolve_path("directory", "file")})
+
+
 def first_command_per_file(commands: DataFrame, order_cols: list[str]) -> DataFrame:
     """First command per file (map-side partial ``min_by``)."""
     payload = [c for c in commands.columns if c != "file"]
@@ -68,4 +76,17 @@ def file_commands(files: DataFrame, commands: DataFrame | None, order_cols: list
     return files.join(first, "file").select("file", "args")
 
 
-__all__ = ["clean_compile_args", "file_commands", "first_command_per_file", "is_object_file"]
+def command_coverage(files: DataFrame, commands: DataFrame) -> DataFrame:
+    """One row: distinct files, those with a command and those without, which are not mined.
+
+    Paths are compared normalised on both sides.
+    """
+    known = commands.select(normalize_path("file").alias("file")).distinct().withColumn("has", F.lit(1))
+    asked = files.select(normalize_path("file").alias("file")).distinct()
+    return asked.join(known, "file", "left").agg(
+        F.count("*").alias("n_files"), F.count("has").alias("n_with_command"),
+        (F.count("*") - F.count("has")).alias("n_without_command"))
+
+
+__all__ = ["clean_compile_args", "command_coverage", "file_commands", "first_command_per_file", "is_object_file",
+           "parse_commands"]

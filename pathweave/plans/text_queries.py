@@ -197,3 +197,51 @@ def q_file_commands(spark, sf):
     db = cmds.where(F.col("p_type") != "ECONOMY").select("file", "cmd_id").join(cleaned, "cmd_id")
     files = cmds.select("file").distinct()
     return C.file_commands(files, db, ["cmd_id"]).select("file", F.array_join("args", "|").alias("args"))
+
+
+def quoted_commands(spark, sf):
+    """Compile database rows that give a command line: parts built in two folders, names and values quoted."""
+    p = table(spark, sf, "part")
+    folder = F.when(F.col("p_size") % 2 == 0, "/src/even").otherwise("/src/odd/")
+    line = F.concat(F.lit("clang++  -Xclang '"), "p_type", F.lit("' -c \"../x/./..//"), folder_name(), F.lit("/"), "p_name",
+                    F.lit(".cc\" -o "), F.col("p_partkey").cast("string"), F.lit(".o '-DTYPE="), "p_type",
+                    F.lit(" \\' \"-DBRAND=\\\""), "p_brand", F.lit("\\\"\" -I\\ "), "p_brand", F.lit(" -I'' \"\""))
+    return p.select(F.col("p_partkey").alias("cmd_id"), folder.alias("directory"),
+                    F.concat(F.lit("./"), "p_name", F.lit(".cc")).alias("file"),
+                    F.lit(None).cast("array<string>").alias("arguments"), line.alias("command"))
+
+
+def folder_name():
+    return F.when(F.col("p_size") % 2 == 0, "even").otherwise("odd")
+
+
+def even_promo_files(spark, sf):
+    """The file system of that database: only the even folder holds the sources, those of the PROMO parts."""
+    return table(spark, sf, "part").where(F.col("p_type") == "PROMO").select(
+        F.concat(F.lit("/src//even/./"), "p_name", F.lit(".cc")).alias("path"))
+
+
+# a part's source is named from its folder's sibling; it goes where that file exists
+@register("compile_args_quoted", """SELECT p_partkey AS cmd_id,
+  CASE WHEN p_size % 2 = 0 THEN '/src/even/' ELSE '/src/odd/' END || p_name || '.cc' AS path,
+  CASE WHEN p_size % 2 = 0 AND p_name IN (SELECT p_name FROM part WHERE p_type = 'PROMO') THEN ''
+       ELSE '../x/./..//' || CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END || '/' || p_name || '.cc;' END
+    || '-DTYPE=' || p_type || ' ' || chr(92) || ';-DBRAND="' || p_brand || '";-I ' || p_brand || ';-I;' AS args
+FROM part""")
+def q_compile_args_quoted(spark, sf):
+    db = C.parse_commands(quoted_commands(spark, sf))
+    cleaned = C.clean_compile_args(db, even_promo_files(spark, sf))
+    return db.select("cmd_id", "path").join(cleaned, "cmd_id").select("cmd_id", "path", F.array_join("args", ";").alias("args"))
+
+
+@register("command_coverage", """WITH asked AS (SELECT DISTINCT p_name AS f FROM part),
+has AS (SELECT DISTINCT p_name AS f FROM part WHERE p_type = 'PROMO' AND p_size % 2 = 0)
+SELECT 2 * count(*) AS n_files, count(has.f) AS n_with_command, 2 * count(*) - count(has.f) AS n_without_command
+FROM asked LEFT JOIN has ON has.f = asked.f""")
+def q_command_coverage(spark, sf):
+    p = table(spark, sf, "part")
+    files = p.select(F.explode(F.array(F.lit("/src/even/"), F.lit("/src/x/../odd//"))).alias("d"), "p_name").select(
+        F.concat("d", "p_name", F.lit(".cc")).alias("file"))
+    promo = p.where((F.col("p_type") == "PROMO") & (F.col("p_size") % 2 == 0)).select(F.col("p_partkey").alias("cmd_id"))
+    db = C.parse_commands(quoted_commands(spark, sf).join(promo, "cmd_id", "left_semi"))
+    return C.command_coverage(files, db.select(F.col("path").alias("file")))

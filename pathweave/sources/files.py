@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.commands import parse_commands
 from ..schemas import COMPILE_COMMANDS
 
 # fixed value: source extensions the miner walks (case-sensitive)
@@ -33,10 +34,9 @@ def _is_file(spark: SparkSession, path: str) -> bool:
 
 
 def compile_commands(spark: SparkSession, input_dir: str) -> DataFrame | None:
-    """``compile_commands.json`` of the input folder, or None when absent."""
+    """``compile_commands.json`` of the input folder with ``arguments`` and ``path``, or None when absent."""
     path = f"{input_dir.rstrip('/')}/compile_commands.json"
     if not _is_file(spark, path):
         return None
     df = spark.read.option("multiLine", True).schema(COMPILE_COMMANDS).json(path)
-    # ``arguments`` may be missing when only ``command`` is given: split it on spaces
-    return df.withColumn("arguments", F.coalesce("arguments", F.split(F.coalesce("command", F.lit("")), " +")))
+    return parse_commands(df)
