@@ -21,16 +21,18 @@ from .sources.c2s import RAW_ORDER, parse_dataset_lines, read_raw_samples
 
 
 def mine_job(spark: SparkSession, cursors_path: str, out: str, cfg: MineConfig = MineConfig(),
-             raw_text: bool = False, sources_path: str | None = None) -> None:
+             raw_text: bool = False, sources_path: str | None = None, rules_path: str | None = None) -> None:
     """cursors parquet -> ``out/samples`` (+ ``out/rejects``; raw text lines when asked).
 
     ``sources_path``: parquet of loc_file, text; operators that a macro hides
-    take their label from it.
+    take their label from it.  ``rules_path``: parquet of kind, role for a tree
+    language other than the default.
     """
     cursors = spark.read.schema(CURSORS).parquet(cursors_path)
+    rules = spark.read.parquet(rules_path) if rules_path else None
     if sources_path:
-        cursors = C.attach_span_text(cursors.drop("span_text"), spark.read.parquet(sources_path).select("loc_file", "text"))
-    samples, rejects, _ = C.mine_cursors(cursors, cfg)
+        cursors = C.attach_span_text(cursors.drop("span_text"), spark.read.parquet(sources_path).select("loc_file", "text"), rules)
+    samples, rejects, _ = C.mine_cursors(cursors, cfg, rules=rules)
     samples = cut_lineage(samples.select("file", "line", "target", "contexts",
                                          F.col("tree_id").alias("unit_cursor")))
     samples.write.mode("overwrite").parquet(f"{out}/samples")
