@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import tokens as W
+from ..functions.text import decode_nested
 from ..operators import commands as C
 from ..session import table
 from .registry import register
@@ -137,6 +138,30 @@ def q_decode_nested(spark, sf):
                     F.aggregate(matrix, F.lit(0).cast("bigint"), lambda acc, r: acc + F.size(r)).alias("n_matrix"))
 
 
+@register("decode_nested_text", """SELECT doc_id, replace(text, ' ', '|') AS words,
+  replace(replace(text, chr(10), '/'), ' ', '|') AS lines,
+  replace(replace(replace(text, chr(10) || chr(10), '#'), chr(10), '/'), ' ', '|') AS paragraphs
+FROM documents""")
+def q_decode_nested_text(spark, sf):
+    """Words, lines of words and paragraphs of lines of words, kept as bytes and decoded at depth 1, 2 and 3."""
+    d = table(spark, sf, "documents")
+
+    def words(t):
+        return F.transform(F.split(t, " "), lambda w: F.encode(w, "UTF-8"))
+
+    def lines(t):
+        return F.transform(F.split(t, "\n"), words)
+
+    stored = d.select("doc_id", words(F.col("text")).alias("w"), lines(F.col("text")).alias("l"),
+                      F.transform(F.split("text", "\n\n"), lines).alias("p"))
+
+    def line_text(x):
+        return F.array_join(F.transform(x, lambda ws: F.array_join(ws, "|")), "/")
+    return stored.select("doc_id", F.array_join(decode_nested("w", 1), "|").alias("words"),
+                         line_text(decode_nested("l", 2)).alias("lines"),
+                         F.array_join(F.transform(decode_nested("p", 3), line_text), "#").alias("paragraphs"))
+
+
 # ---------------------------------------------------------------- B13 / B12 / D4 / G5
 @register("object_file", """SELECT p_partkey, pos, name,
   (contains(string_split(name, '/')[-1], '.o.') OR suffix(string_split(name, '/')[-1], '.o')) AS is_object
