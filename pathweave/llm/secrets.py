@@ -1,13 +1,15 @@
 """Secret scan over a trigram inverted index.
 
 Each rule's regular expression is turned into a Boolean query over lower-case
-trigrams that every match must contain.  A task reads its rows in segments of
-``segment_rows``; for each segment it builds the postings of the trigrams that
-the queries name (trigram -> ascending row numbers), intersects and unites
-them as the queries say, and runs a rule's expression only over the rows left.
-Rules without a mandatory trigram scan every row.  A segment's index lives only
-as long as the segment, like one segment of a search index, so memory is
-bounded, nothing is shuffled, and a lost task just reads its rows again.
+trigrams that every match must contain.  A task reads its rows in segments of at most
+``segment_rows`` rows and, but for a longer single text, ``segment_chars``
+characters; for each segment it builds an index of all distinct trigrams of its
+texts, in one pass over each text (trigram -> ascending row numbers), looks up
+those that the queries name, intersects and unites their postings, and runs a
+rule's expression only over the rows left.  Rules without a mandatory trigram
+scan every row.  A segment's index lives only as long as the segment, like one
+segment of a search index, so memory is bounded by the segment and the longest
+text, nothing is shuffled, and a lost task just reads its rows again.
 
 Defined results: a null or empty text has no spans; offsets are code points,
 end exclusive; rows are independent (ties and repeated rows need no rule); an
@@ -24,6 +26,7 @@ from re import _parser
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,7 +114,7 @@ def trigrams(query) -> set[str]:
     return {query[1]} if query[0] == "tri" else set().union(*map(trigrams, query[1:])) if query != ALL else set()
 
 
-def answer(query, postings: dict[str, np.ndarray], rows: int) -> np.ndarray:
+def answer(query, postings: SegmentIndex, rows: int) -> np.ndarray:
     """Row numbers that answer the query, ascending."""
     if query == ALL:
         return np.arange(rows)
@@ -123,22 +126,69 @@ def answer(query, postings: dict[str, np.ndarray], rows: int) -> np.ndarray:
     return reduce(lambda a, b: np.intersect1d(a, b, assume_unique=True), sorted(parts, key=len))
 
 
+CODE_BITS = 21           # a code point; a trigram is one integer of three
+BLOCK_CHARS = 1_000_000  # characters of one text whose trigrams are listed at a time
+
+
+def trigram_code(trigram: str) -> int:
+    a, b, c = map(ord, trigram)
+    return a << 2 * CODE_BITS | b << CODE_BITS | c
+
+
+def text_trigrams(folded: str) -> np.ndarray:
+    """The distinct trigrams of a folded text, ascending."""
+    found = np.empty(0, np.int64)
+    for at in range(0, max(len(folded) - 2, 0), BLOCK_CHARS):
+        c = np.frombuffer(folded[at:at + BLOCK_CHARS + 2].encode("utf-32-le"), np.uint32).astype(np.int64)
+        here = np.unique(c[:-2] << 2 * CODE_BITS | c[1:-1] << CODE_BITS | c[2:])
+        found = here if not len(found) else np.union1d(found, here)
+    return found
+
+
+class SegmentIndex:
+    """Trigram postings of some texts: trigrams ascending, and beside each its rows ascending."""
+
+    def __init__(self, folded: list[str]):
+        each = [text_trigrams(t) for t in folded]
+        grams = np.concatenate(each) if each else np.empty(0, np.int64)
+        rows = np.repeat(np.arange(len(each), dtype=np.int32), [len(e) for e in each])
+        order = np.argsort(grams, kind="stable")     # rows stay ascending within a trigram
+        self.trigrams, self.rows = grams[order], rows[order]
+
+    def __getitem__(self, trigram: str) -> np.ndarray:
+        code = trigram_code(trigram)
+        return self.rows[np.searchsorted(self.trigrams, code, "left"):np.searchsorted(self.trigrams, code, "right")]
+
+
+def segments(sizes: list[int], rows: int, chars: int):
+    """Consecutive (start, stop) of at most ``rows`` texts and ``chars`` characters; a longer text stands alone."""
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and (i - start == rows or held + n > chars):
+            yield start, i
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, segment_rows: int = 512) -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, segment_rows: int = 512,
+         segment_chars: int = 2_000_000) -> DataFrame:
     """(doc_id, spans): array<struct<kind,start,end>> by start, then rule as listed."""
     queries = [trigram_query(r.pattern) for r in rules]
-    named = sorted(set().union(*map(trigrams, queries)))
 
     def run(batches):
         compiled = [re.compile(r.pattern, re.ASCII) for r in rules]
         for batch in batches:
-            for at in range(0, batch.num_rows, segment_rows):
-                part = batch.slice(at, segment_rows)
+            # bytes, which bound the characters
+            sizes = [n or 0 for n in pc.binary_length(batch.column("text")).to_pylist()]
+            for start, stop in segments(sizes, segment_rows, segment_chars):
+                part = batch.slice(start, stop - start)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                folded = [t.lower() for t in texts]
-                postings = {g: np.array([i for i, t in enumerate(folded) if g in t], dtype=np.int64) for g in named}
+                postings = SegmentIndex([t.lower() for t in texts])
                 found = [[] for _ in texts]
                 for k, (rule, expr, query) in enumerate(zip(rules, compiled, queries)):
                     for i in answer(query, postings, len(texts)):
