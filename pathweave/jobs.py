@@ -55,7 +55,7 @@ def merge_job(spark: SparkSession, samples_paths: list[str], out: str, cfg: Data
         parts = [spark.read.parquet(p) for p in samples_paths]
         order = ["_src"] + (["unit_cursor"] if all("unit_cursor" in p.columns for p in parts) else [])
     merged = D.merge_raw(*[p.withColumn("_src", F.lit(i)) for i, p in enumerate(parts)])
-    unique = D.dedup_first(merged, ["file", "line"], order)
+    unique = (D.dedup_first if raw_text else D.dedup_first_stored)(merged, ["file", "line"], order)
     if raw_text:
         unique = parse_dataset_lines(unique.drop(*RAW_ORDER), "sample")
     unique = cut_lineage(unique.drop("_src"))

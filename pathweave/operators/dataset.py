@@ -7,7 +7,7 @@ Scale notes
 -----------
 * First-wins dedup is ``min_by`` per mark: a map-side partial aggregate, so a
   mark repeated in a third of all raw rows still leaves each map task with one
-  row for it.
+  row for it.  Of a stored table, only copies of repeated marks go through it.
 * Ids, shuffle order and splits come from a dense rank over
   ``md5(seed:file:line)``.  The md5 prefix spreads rows evenly over up to 16^5
   buckets; bucket sizes are counted (partial aggregate, at most 16^5 rows,
@@ -18,6 +18,8 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,20 @@ def dedup_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFr
     return df.groupBy(*keys).agg(w).select(*keys, *[F.col("_w")[c].alias(c) for c in payload])
 
 
+def dedup_first_stored(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """``dedup_first`` of a stored table, whose keys can be read without its payload.
+
+    A count over the keys alone finds the repeated marks.  Rows of the others pass
+    by an anti join, unsorted and, where the repeated marks are few, not shuffled
+    either; only copies of repeated marks are compared.  Null keys are equal.
+    """
+    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    once = df.join(repeated, same, "left_anti")
+    return once.unionByName(dedup_first(df.join(repeated, same, "left_semi"), keys, order_cols))
+
+
 # ------------------------------------------------------- G1 / H3 dense ranks
 def hash_rank(df: DataFrame, key_cols: list[str], seed: int, out: str = "sample_id") -> DataFrame:
     """Dense 0-based rank of rows by ``md5(seed:key...)`` then the keys (distributed)."""

@@ -299,12 +299,13 @@ def _length_limited_pairs(terms: DataFrame, cfg: MineConfig) -> DataFrame:
 
 # ------------------------------------------------------------ E2-E4 contexts
 def pair_contexts(pairs: DataFrame, cfg: MineConfig) -> DataFrame:
-    """tree_id, pair_idx, start, path, end (arrays) and ``bad`` (a token with no subtoken)."""
+    """tree_id, pair_idx, start, path, end (arrays), path_len (both ends included) and ``bad`` (a token with no subtoken)."""
     return (pairs.withColumn("lca", lca_depth("a_ids", "b_ids"))
             .select("tree_id", "pair_idx",
                     F.col("a_tok").alias("start"),
                     inner_path("a_labels", "b_labels", F.col("lca")).alias("path"),
-                    F.col("b_tok").alias("end"))
+                    F.col("b_tok").alias("end"),
+                    path_len(F.size("a_ids"), F.size("b_ids"), F.col("lca")).alias("path_len"))
             .withColumn("bad", (F.size("start") == 0) | (F.size("end") == 0)))
 
 

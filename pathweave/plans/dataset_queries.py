@@ -109,7 +109,7 @@ def q_dedup_source_mark(spark, sf):
         "l_linestatus", "l_shipdate")
     order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
              "l_linestatus", "l_shipdate"]
-    return D.dedup_first(li, ["file", "line"], order).select(
+    return D.dedup_first_stored(li, ["file", "line"], order).select(
         "file", "line", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 

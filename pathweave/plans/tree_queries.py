@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MineConfig
-from ..functions.paths import lca_depth, path_len
 from ..functions.text import format_sample
 from ..operators import tree as T
 from ..operators.quality import validate_samples
@@ -76,13 +75,9 @@ def q_terminal_pairs(spark, sf):
 @register("lca_paths", f"""WITH {ot_pairs_sql('random', 100)}
 SELECT tree_id, pair_idx, path_len, path FROM ot_ctx""")
 def q_lca_paths(spark, sf):
-    pairs = T.leaf_pairs(None, RANDOM, order_tree_terminals(spark, sf))
-    ctx = T.pair_contexts(pairs, RANDOM).select("tree_id", "pair_idx", "path")
-    lens = pairs.select("tree_id", "pair_idx",
-                        path_len(F.size("a_ids"), F.size("b_ids"), lca_depth("a_ids", "b_ids")).alias("path_len"))
-    return ctx.join(lens, ["tree_id", "pair_idx"]).select(
-        "tree_id", "pair_idx", F.col("path_len").cast("bigint").alias("path_len"),
-        F.array_join("path", "|").alias("path"))
+    ctx = T.pair_contexts(T.leaf_pairs(None, RANDOM, order_tree_terminals(spark, sf)), RANDOM)
+    return ctx.select("tree_id", "pair_idx", F.col("path_len").cast("bigint").alias("path_len"),
+                      F.array_join("path", "|").alias("path"))
 
 
 # ---------------------------------------------------------------------- E4

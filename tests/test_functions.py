@@ -114,6 +114,18 @@ def test_split_is_disjoint_and_sized(spark):
     assert sorted(ids) == list(range(1000))
 
 
+def test_dedup_first_of_a_stored_table(spark, tmp_path):
+    rows = [("a", 1, "x", 3), ("a", 1, "y", 2), ("a", 1, "z", 9), ("b", 1, "u", 5), (None, 2, "n", 4), (None, 2, "m", 1),
+            (None, None, "o", 1), ("c", None, "p", 2), ("c", None, "p", 2)]
+    spark.createDataFrame(rows, "file string, line int, sample string, ord int").write.parquet(str(tmp_path / "s"))
+    df = spark.read.parquet(str(tmp_path / "s"))
+    got = D.dedup_first_stored(df, ["file", "line"], ["ord"])
+    assert got.columns == df.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, D.dedup_first(df, ["file", "line"], ["ord"]).collect()))
+    assert sorted(r["sample"] for r in got.collect()) == ["m", "o", "p", "u", "y"]
+    assert D.dedup_first_stored(df.limit(0), ["file", "line"], ["ord"]).count() == 0
+
+
 def test_dedup_first_takes_first(spark):
     df = spark.createDataFrame([("f", 1, 2, "b"), ("f", 1, 1, "a"), ("g", 1, 5, "c")],
                                "file string, line bigint, ord int, sample string")
