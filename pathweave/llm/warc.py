@@ -45,6 +45,7 @@ class WarcConfig:
     revisit_bytes: int = 1000
     frame_bytes: int = 256 * 1024
     bundle_bytes: int = 8 * 1024 * 1024
+    bundles_per_file: int = 1               # what ``fetch`` reads at least; more where many files cost more
     level: int = 3
     date: str = "1970-01-01T00:00:00Z"      # of every record, so that equal input gives equal archives
 
@@ -144,11 +145,16 @@ def with_revisits(pages: DataFrame, cfg: WarcConfig = WarcConfig()) -> DataFrame
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8").alias("payload")) \
         .withColumn("digest", F.sha1("payload"))
+    # payloads of equal SHA-1 can be made, so SHA-256 decides which are equal
+    large = rows.where(F.octet_length("payload") >= cfg.revisit_bytes).withColumn("same", F.sha2("payload", 256))
     # one row per task and payload is shuffled here, however many copies there are
-    top = cut_lineage(rows.where(F.octet_length("payload") >= cfg.revisit_bytes).groupBy("digest")
-                      .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    return rows.join(top, "digest", "left").withColumn(
-        "revisit", F.coalesce(F.col("page_id") < F.col("refers_to"), F.col("page_id").isNull() & F.col("refers_to").isNotNull()))
+    top = cut_lineage(large.groupBy("same").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+                      .where("n > 1").drop("n"))
+    large = large.join(top, "same", "left").drop("same").withColumn("revisit", F.coalesce(
+        F.col("page_id") < F.col("refers_to"), F.col("page_id").isNull() & F.col("refers_to").isNotNull()))
+    # short and empty payloads, however often they occur, meet nothing
+    small = rows.where(F.octet_length("payload") < cfg.revisit_bytes)
+    return large.unionByName(small.withColumns({"refers_to": F.lit(None).cast("long"), "revisit": F.lit(False)}))
 
 
 def write(pages: DataFrame, path: str, cfg: WarcConfig = WarcConfig()) -> None:
@@ -165,7 +171,8 @@ def write(pages: DataFrame, path: str, cfg: WarcConfig = WarcConfig()) -> None:
             yield bundle.row()
 
     with_revisits(pages, cfg).select("page_id", "url", "payload", "digest", "refers_to", "revisit") \
-        .mapInArrow(run, BUNDLES).write.option("compression", "uncompressed").parquet(path)
+        .mapInArrow(run, BUNDLES).write.option("compression", "uncompressed") \
+        .option("maxRecordsPerFile", cfg.bundles_per_file).parquet(path)
 
 
 def _record_batch(found: list[tuple[dict, bytes]], payloads: bool) -> pa.RecordBatch:
@@ -206,12 +213,23 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
 
 
 def fetch(spark: SparkSession, path: str, page_ids: DataFrame) -> DataFrame:
-    """The records of the given page_ids, with payloads; only the frames that hold them are decompressed."""
+    """The records of the given page_ids, with payloads.
+
+    The index alone tells the files and bundles that hold them.  Content is read of
+    these files only, and of it only the frames that hold a record are decompressed.
+    The driver receives file names, no more than it lists to open the table.
+    """
     bundles = spark.read.parquet(path)
     wanted = page_ids.select(F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))
                              .alias("record_id")).distinct()
-    places = bundles.select("bundle", F.explode("index").alias("i")).select("bundle", "i.*").join(wanted, "record_id") \
-        .groupBy("bundle").agg(F.sort_array(F.collect_list(F.struct("frame", "offset"))).alias("places"))   # bounded by a bundle
+    index = bundles.select("bundle", F.col("_metadata.file_name").alias("file"), F.explode("index").alias("i"))
+    places = cut_lineage(
+        index.select("file", "bundle", "i.*").join(wanted, "record_id").groupBy("file", "bundle")
+        .agg(F.sort_array(F.collect_list(F.struct("frame", "offset"))).alias("places")))   # bounded by a bundle
+    files = [f"{path.rstrip('/')}/{r.file}" for r in places.select("file").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], RECORDS)
+    held = spark.read.schema(bundles.schema).parquet(*files).select("bundle", "content")
 
     def run(batches):
         import zstandard
@@ -227,4 +245,4 @@ def fetch(spark: SparkSession, path: str, page_ids: DataFrame) -> DataFrame:
                     head, block, _ = parse(frame, p["offset"])
                     found.append((head, block))
                 yield _record_batch(found, True)
-    return bundles.select("bundle", "content").join(places, "bundle").select("content", "places").mapInArrow(run, RECORDS)
+    return held.join(places, "bundle").select("content", "places").mapInArrow(run, RECORDS)

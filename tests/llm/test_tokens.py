@@ -10,6 +10,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pathweave.llm import bpe, packing, registry, warc
 
@@ -182,12 +183,19 @@ def test_warc_contract_and_random_access(spark, tmp_path):
         whole = zstandard.ZstdDecompressor().stream_reader(bytes(r.content), read_across_frames=True).read()
         assert whole.count(b"WARC-Record-ID") == r.records and len(warc.frames(bytes(r.content))) == r.frames
     ids = spark.createDataFrame([(9,), (4,), (None,), (150,), (12345,)], "page_id long")
-    found = warc.fetch(spark, path, ids).collect()
+    fetched = warc.fetch(spark, path, ids)
+    held = {r.file for r in table.select(F.col("_metadata.file_name").alias("file"), F.explode("index.record_id").alias("id"))
+            .where(F.col("id").isin("<urn:page:9>", "<urn:page:4>", "<urn:page:>", "<urn:page:150>")).collect()}
+    read = {f.rsplit("/", 1)[1] for f in fetched.inputFiles() if "/bundles/" in f}
+    assert read == held and len(held) < table.count() == len(table.inputFiles())    # a bundle a file, only these are read
+    found = fetched.collect()
     assert sorted((r.page_id or 0) for r in found) == [0, 4, 9, 150]
     by = {r.page_id: r for r in found}
     assert bytes(by[9].payload) == b"y" * 400_000 and by[150].payload is None and by[150].refers_to == 399
     assert warc.read(spark, path, payloads=True).where("page_id = 2").first().url == "http://b%0D%0AX: y"
+    assert warc.fetch(spark, path, ids.where("page_id = 12345")).count() == 0
     warc.write(docs.limit(0), f"{tmp_path}/none")
+    assert warc.fetch(spark, f"{tmp_path}/none", ids).count() == 0
     assert warc.read(spark, f"{tmp_path}/none").count() == 0
 
 
