@@ -1,32 +1,39 @@
 """Quality rules as a short-circuit cascade.
 
 The counts that several rules share are columns of one projection; the other
-rules look at the text themselves.  A bounded sample gives each rule the mean
-of its work (characters or words looked at, times a unit price) and the share
-of rows it rejects.  The rules are then ordered by rejection per cost and
-joined into one ``OR``, which Spark evaluates from left to right and leaves at
-the first rule that rejects.  The order changes the work, never the verdict.
+rules look at the text themselves.  A random sample of the whole table, of a
+stated size, is evaluated once for each rule: that gives the time it takes a
+row, and the rows it rejects.  Rules are then put in order one at a time, each
+time that with the most rejections per cost among the sample's rows that the
+rules before it let through, and joined into nested conditions that Spark
+leaves at the first rule that rejects.  Times differ from run to run, and so
+may the order; it changes the work, never the verdict.
 
 Defined results: a null or empty text has no words, so it is base_failed and
 not kept; rows are independent, so ties and repeated rows need no rule; an
-empty table gives an empty result (the rules then keep their declared order);
+empty table or sample leaves the rules in their declared order;
 other columns of the input are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathweave.session import cut_lineage
+
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 # a word that the next word repeats
 STUTTER = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)(?=[\x20\x09-\x0D]++\1(?![^\x20\x09-\x0D]))"
 WINDOW = 8
-SAMPLE_ROWS = 2000      # rows looked at to order the rules; bounds what the driver receives
+SAMPLE_ROWS = 2000      # expected rows of the sample that orders the rules; bounds what the driver receives
+COPIES = 4              # times that each sampled row is evaluated while a rule's time is taken
+REPEATS = 2             # runs of which the shorter counts; the first compiles the expression
 
 
 def words(text: Column) -> Column:
@@ -81,49 +88,75 @@ def with_counts(docs: DataFrame, text: str = "text", n: int = WINDOW) -> DataFra
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` and ``work`` are expressions over the columns of with_counts."""
+    """``rejects`` is an expression over the columns of with_counts."""
     name: str
     rejects: Callable[[], Column]
-    work: Callable[[], Column]
 
 
 def _chars_of(pattern: str) -> Column:
     return F.length("text") - F.length(F.regexp_replace("text", pattern, ""))
 
 
-def _whole(price: float) -> Callable[[], Column]:
-    return lambda: F.length("text") * F.lit(price) + 1.0
+RULES = (
+    Rule("few_words", lambda: F.col("n_words") < 20),
+    Rule("repeated_words", lambda: 100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
+    Rule("symbols", lambda: F.col("n_symbols") > 0.2 * F.col("n_words")),
+    Rule("word_length", lambda: ~F.col("word_chars").between(2 * F.col("n_words"), 20 * F.col("n_words"))),
+    Rule("duplicate_lines", lambda: 100 * F.col("n_dup_lines") > 50 * F.col("n_lines")),
+    Rule("capitals", lambda: _chars_of(r"\p{Lu}") > 0.5 * F.col("word_chars")),
+    Rule("exclamations", lambda: _chars_of("!") > 0.5 * F.col("n_words")),
+    Rule("stutter", lambda: F.regexp_count("text", F.lit(STUTTER)) > 0.3 * F.col("n_words")),
+    Rule("no_letters", lambda: _chars_of(r"\p{L}") < 0.5 * F.col("word_chars")),
+)
 
 
-_ONE = lambda: F.lit(1.0)  # noqa: E731  a comparison of counts that are there already
+def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
+    """About ``rows`` rows, each row of the table as likely as any other; small tables whole."""
+    n = docs.count()
+    return docs if n <= rows else docs.sample(rows / n, seed)
 
-RULES = (
-    Rule("few_words", lambda: F.col("n_words") < 20, _ONE),
-    Rule("repeated_words", lambda: 100 * F.col("n_repeat_words") > 30 * F.col("n_words"), _ONE),
-    Rule("symbols", lambda: F.col("n_symbols") > 0.2 * F.col("n_words"), _ONE),
-    Rule("word_length", lambda: ~F.col("word_chars").between(2 * F.col("n_words"), 20 * F.col("n_words")), _ONE),
-    Rule("duplicate_lines", lambda: 100 * F.col("n_dup_lines") > 50 * F.col("n_lines"), _ONE),
-    Rule("capitals", lambda: _chars_of(r"\p{Lu}") > 0.5 * F.col("word_chars"), _whole(4.0)),
-    Rule("exclamations", lambda: _chars_of("!") > 0.5 * F.col("n_words"), _whole(3.0)),
-    Rule("stutter", lambda: F.regexp_count("text", F.lit(STUTTER)) > 0.3 * F.col("n_words"), _whole(10.0)),
-    Rule("no_letters", lambda: _chars_of(r"\p{L}") < 0.5 * F.col("word_chars"), _whole(6.0)),
-)
+
+def verdicts(sample: DataFrame, rules: Sequence[Rule]) -> list[tuple[bool, ...]]:
+    """Which rules reject, for each row of a sample."""
+    return [tuple(map(bool, r)) for r in sample.select(*[r.rejects().alias(f"r{i}") for i, r in enumerate(rules)]).collect()]
 
 
-def ordered(counted: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejection per cost on a sample, best first (ties: as declared).
+def seconds(sample: DataFrame, rules: Sequence[Rule], clock: Callable[[], float] = time.perf_counter) -> list[float]:
+    """The time that each rule takes over a stored sample, beyond that of reading it.
 
-    The sample is the first ``sample_rows`` rows that Spark comes to; it sends
-    two numbers per rule and row.  Only the order depends on it.
+    Nothing shorter than what two equal runs differ by is told apart.
     """
-    seen = counted.select(*[F.struct(r.rejects().alias("no"), r.work().cast("double").alias("work")).alias(f"r{i}")
-                            for i, r in enumerate(rules)]).take(sample_rows)
+    copies = sample.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
+
+    def runs(condition: Column) -> list[float]:
+        out = []
+        for _ in range(REPEATS):
+            began = clock()
+            copies.agg(F.count_if(condition)).collect()
+            out.append(clock() - began)
+        return out
+    runs(F.octet_length("text") < 0)
+    read = runs(F.octet_length("text") < 0)
+    least = max(read) - min(read) + 1e-3
+    return [max(min(runs(r.rejects())) - min(read), least) for r in rules]
+
+
+def by_rejection_per_cost(costs: Sequence[float], rows: Sequence[Sequence[bool]]) -> list[int]:
+    """Places of the rules: next is always that with most rejections per cost among the rows still kept (ties: as declared)."""
+    left, out = list(range(len(costs))), []
+    while left:
+        best = max(left, key=lambda i: ((sum(r[i] for r in rows) + 1) / (len(rows) + 2) / costs[i], -i))
+        left.remove(best)
+        out.append(best)
+        rows = [r for r in rows if not r[best]]
+    return out
+
 
-    def value(i):
-        cost = sum(x[i]["work"] for x in seen) / max(1, len(seen))
-        share = (sum(bool(x[i]["no"]) for x in seen) + 1) / (len(seen) + 2)
-        return -share / max(cost, 1e-9)
-    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: (value(i), i))]
+def ordered(sample: DataFrame, rules: Sequence[Rule] = RULES) -> list[Rule]:
+    """The rules in the order in which they are to be evaluated, from a sample with the columns of with_counts."""
+    stored = cut_lineage(sample)
+    rows = verdicts(stored, rules)
+    return [rules[i] for i in by_rejection_per_cost(seconds(stored, rules), rows)] if rows else list(rules)
 
 
 def cascade(rules: list[Rule]) -> Column:
@@ -134,7 +167,7 @@ def cascade(rules: list[Rule]) -> Column:
     return out
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The counts of with_counts and ``kept``, false where a rule of the cascade rejects."""
-    counted = with_counts(docs)
-    return counted.withColumn("kept", ~cascade(ordered(counted, rules, sample_rows)))
+    order = ordered(with_counts(sampled(docs.select("doc_id", "text"), sample_rows)), rules)
+    return with_counts(docs).withColumn("kept", ~cascade(order))

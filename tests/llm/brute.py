@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 
 HARD_TEXTS = [
     None, "", " ", "\n\n", "a", "word " * 30, "one two three four five six seven eight " * 6,
@@ -60,6 +61,19 @@ def quality(text):
     return (len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(cover))
 
 
+def quality_kept(text):
+    """The verdict of all rules, one after the other."""
+    text = text or ""
+    n, chars, symbols, dup, rep = quality(text)
+    ws = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n_lines = sum(1 for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x))
+    upper = sum(unicodedata.category(c) == "Lu" for c in text)
+    letters = sum(unicodedata.category(c)[0] == "L" for c in text)
+    twins = sum(a == b for a, b in zip(ws, ws[1:]))
+    return not (n < 20 or 100 * rep > 30 * n or symbols > 0.2 * n or not 2 * n <= chars <= 20 * n or 100 * dup > 50 * n_lines
+                or upper > 0.5 * chars or text.count("!") > 0.5 * n or twins > 0.3 * n or letters < 0.5 * chars)
+
+
 def normal(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
 

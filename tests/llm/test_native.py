@@ -65,7 +65,46 @@ def test_quality_counts(spark, folder, texts):
         r = got[i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, sym, dup, rep), t
         assert r.base_failed == (n < 20 or 100 * rep > 30 * n)
-        assert not (r.base_failed and r.kept)
+        assert r.kept == brute.quality_kept(t), t
+    assert 0 < sum(r.kept for r in got.values()) < len(got)
+
+
+def test_quality_rules_each_reject(spark):
+    """A text that each rule rejects, and one that none does."""
+    some = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    plain = " ".join(some)
+    texts = {"none": plain, "few_words": " ".join(some[:19]), "repeated_words": " ".join([*some[:30], *some[:12]]),
+             "symbols": plain + " ##### ***** $$$$$ %%%%%", "word_length": plain + " " + "x" * 2000,
+             "duplicate_lines": "\n".join(x for w in some for x in (w, w, w)),
+             "capitals": plain.upper(), "exclamations": plain.replace(" ", "! "),
+             "stutter": " ".join(f"{a} {b} {b}" for a, b in zip(some[::2], some[1::2])),
+             "no_letters": " ".join(f"{i:05d}7" for i in range(50))}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    counted = quality.with_counts(docs).orderBy("doc_id")
+    got = quality.verdicts(counted, quality.RULES)
+    names = [r.name for r in quality.RULES]
+    for name, row in zip(texts, got):
+        assert name == "none" or row[names.index(name)], name
+    assert not any(got[0])
+    assert [r.kept for r in quality.judge(docs).orderBy("doc_id").collect()] == [brute.quality_kept(t) for t in texts.values()]
+
+
+def test_quality_rules_go_by_what_the_ones_before_let_through():
+    # the second rejects most, the third what the second leaves, the first nothing that these leave
+    rows = [(True, True, False)] * 6 + [(False, True, False)] * 2 + [(False, False, True)] * 3 + [(False, False, False)] * 9
+    assert quality.by_rejection_per_cost([1, 1, 1], rows) == [1, 2, 0]
+    assert quality.by_rejection_per_cost([1, 100, 1], rows) == [0, 2, 1]        # too dear for what it rejects
+    assert quality.by_rejection_per_cost([2, 1, 1], []) == [1, 2, 0]
+
+
+def test_quality_costs_are_measured(spark, folder):
+    sample = quality.cut_lineage(quality.with_counts(quality.sampled(spark.read.parquet(f"{folder}/documents.parquet"), 50)))
+    assert 10 < sample.count() < 120
+    now = iter(range(1000))
+    assert quality.seconds(sample, quality.RULES, lambda: next(now)) == [1e-3] * len(quality.RULES)   # all runs take one tick
+    slow = quality.Rule("slow", lambda: F.regexp_count(F.repeat("text", F.lit(60)), F.lit(quality.STUTTER)) > 10 ** 9)
+    costs = quality.seconds(sample, [quality.RULES[0], slow])
+    assert costs[1] > costs[0] > 0
 
 
 def test_quality_order_changes_work_not_verdict(spark, folder):
