@@ -53,9 +53,10 @@ def dedup_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFr
 def dedup_first_stored(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """``dedup_first`` of a stored table, whose keys can be read without its payload.
 
-    A count over the keys alone finds the repeated marks.  Rows of the others pass
-    by an anti join, unsorted and, where the repeated marks are few, not shuffled
-    either; only copies of repeated marks are compared.  Null keys are equal.
+    A count over the keys alone finds the repeated marks; only their copies are
+    compared.  Rows of the others pass by an anti join: neither sorted nor shuffled
+    where the repeated marks are few enough for Spark to broadcast, else by a
+    sort-merge join on the keys.  Null keys are equal.
     """
     repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
                 .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]))
