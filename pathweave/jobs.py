@@ -31,7 +31,8 @@ def mine_job(spark: SparkSession, cursors_path: str, out: str, cfg: MineConfig =
     cursors = spark.read.schema(CURSORS).parquet(cursors_path)
     rules = spark.read.parquet(rules_path) if rules_path else None
     if sources_path:
-        cursors = C.attach_span_text(cursors.drop("span_text"), spark.read.parquet(sources_path).select("loc_file", "text"), rules)
+        cursors = cut_lineage(C.attach_span_text(
+            cursors.drop("span_text"), spark.read.parquet(sources_path).select("loc_file", "text"), rules))
     samples, rejects, _ = C.mine_cursors(cursors, cfg, rules=rules)
     samples = cut_lineage(samples.select("file", "line", "target", "contexts",
                                          F.col("tree_id").alias("unit_cursor")))
